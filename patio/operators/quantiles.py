@@ -100,3 +100,18 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
         F.struct(F.lit(float(p)).alias("p"), F.col(nm).alias("valor"))
         for p, nm in zip(probs, names)])
     return wide.select(F.inline(pairs))
+
+
+def quantile_row(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                 aggs: Sequence[Column] = ()) -> DataFrame:
+    """One row: ``aggs``, then ``<column>_q<i>`` for every column and probability."""
+    n = df.count()
+    names = {c: [f"{c}_q{i}" for i in range(len(probs))] for c in columns}
+    if n <= small_rows(df.sparkSession):
+        return df.agg(*aggs, *[
+            F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(nm)
+            for c in columns for p, nm in zip(probs, names[c])])
+    parts = {c: scalar_struct(_located(df, [], c, probs, names[c])) for c in columns}
+    base = df.agg(*aggs, F.count(F.lit(1)).alias("_n"))
+    return base.select(
+        "*", *[parts[c][nm].alias(nm) for c in columns for nm in names[c]]).drop("_n")

@@ -1,0 +1,4 @@
+"""Registered queries by family."""
+
+from patio.plans import dashboard, rankings, summaries  # noqa: F401
+from patio.plans.registry import ORACLES, QUERIES  # noqa: F401
