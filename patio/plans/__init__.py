@@ -1,4 +1,5 @@
 """Registered queries by family."""
 
-from patio.plans import dashboard, rankings, summaries  # noqa: F401
+from patio.plans import (cleaning, columns, dashboard, rankings, segmentation,  # noqa: F401
+                         statistics, summaries)
 from patio.plans.registry import ORACLES, QUERIES  # noqa: F401
