@@ -8,6 +8,7 @@ from patio.functions import dates, money, text
 from patio.operators import cleaning
 from patio.plans.registry import (CLEAN, DATE_SQL, LISTINGS, MAX_YEAR, PARSED, PRICE_SQL, RAW,
                                   query, title)
+from patio.session import durable
 from patio.sources.noise import append_sample, inject_noise
 from patio.sources.views import listings, table
 
@@ -59,7 +60,7 @@ def _(spark, sf):
 
 @query("title_case_text", """SELECT doc_id, md5(array_to_string(list_transform(
   regexp_extract_all(trim(text, ' \t\n\r'), '(\\p{L}+|[^\\p{L}]+)'),
-  lambda v: concat(upper(v[1]), lower(v[2:]))), '')) AS texto FROM documents""")
+  lambda v: replace(concat(upper(v[1]), lower(v[2:])), 'ẞ', 'Ss')), '')) AS texto FROM documents""")
 def _(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id", F.md5(text.normalize_text(F.col("text"), "").cast("binary")).alias("texto"))
@@ -117,7 +118,7 @@ def _(spark, sf):
 
 @query("impute_median_price", f"WITH {CLEAN} SELECT id, preco_brl FROM priced")
 def _(spark, sf):
-    parsed = _parsed(spark, sf).select(ID, YEAR, PRICE)
+    parsed = durable(_parsed(spark, sf).select(ID, YEAR, PRICE))
     in_range = cleaning.filter_year_range(cleaning.impute_median_int(parsed), MAX_YEAR)
     return cleaning.impute_median_price(cleaning.filter_positive_or_null(in_range)).select(ID, PRICE)
 
@@ -179,12 +180,15 @@ def _(spark, sf):
         "doc_id", F.md5(text.repair_text(F.col("text"), _PAIRS).cast("binary")).alias("texto"))
 
 
-@query("decode_text", "SELECT doc_id, md5(text) AS utf8, md5(text) AS outro FROM documents")
+@query("decode_text", "SELECT doc_id, md5(text) AS utf8, md5(text) AS ocidental FROM documents")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text"))
-    return docs.select(
-        "doc_id", F.md5(text.decode_text(F.encode("text", "UTF-8")).cast("binary")).alias("utf8"),
-        F.md5(text.decode_text(F.col("text").cast("binary")).cast("binary")).alias("outro"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    # Western bytes where the text fits one byte per character, so the second decoder is used
+    western = F.when(F.col("text").rlike(r"^[\x00-\x7F\xA0-\xFF]*$"), F.encode("text", "ISO-8859-1"))
+    decoded = {"utf8": F.encode("text", "UTF-8"),
+               "ocidental": F.coalesce(western, F.encode("text", "UTF-8"))}
+    return docs.select("doc_id", *[
+        F.md5(text.decode_text(raw).cast("binary")).alias(n) for n, raw in decoded.items()])
 
 
 @query("brand_of", f"WITH {LISTINGS} SELECT id, marca FROM listings")

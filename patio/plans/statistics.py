@@ -172,7 +172,7 @@ def coded(spark, sf):
 
 def _matrix_sql(source):
     cells = " UNION ALL ".join(
-        f"SELECT '{a}' AS x, '{b}' AS y, {rnd('1' if a == b else f'corr({a}, {b})', 6)} AS r FROM {source}"
+        f"SELECT '{a}' AS x, '{b}' AS y, {rnd('max(1)' if a == b else f'corr({a}, {b})', 6)} AS r FROM {source}"
         for a in CODED for b in CODED)
     return f"SELECT *, {STRENGTH_SQL} FROM ({cells})"
 
