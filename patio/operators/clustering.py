@@ -1,44 +1,130 @@
-"""K-means over standardised entity metrics, silhouettes, profiles and projection."""
+"""K-means over standardised entity metrics, silhouettes, profiles and projection.
+
+All restarts of all k advance together: one pass over the rows per iteration, whatever the number
+of fits. Tasks return sums per (run, cluster); the driver only sees those few rows.
+"""
 
 import math
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patio.functions.numeric import round_stable
-from patio.operators.ordered import number_rows
 from patio.operators.quantiles import quantile_scalars
 from patio.operators.summaries import rows
 
 NORMS = ["R_norm", "F_norm", "M_norm"]
 CHUNK = 20_000
+SEED_ROWS = 5_000
+MAX_ITERATIONS = 300  # fixed value, like the tolerance below
+TOLERANCE = 1e-4
 
 # Cluster labels.
 KM_PREMIUM, KM_VOLUME = "KM-Premium", "KM-Alto Volume"
 KM_ECONOMY, KM_MIDDLE = "KM-Econômico", "KM-Médio"
 
 
+@dataclass
+class Fit:
+    """Cluster centres of one run and their within-cluster sum of squares."""
+
+    k: int
+    centers: np.ndarray
+    cost: float
+
+
 def with_features(df: DataFrame, columns: Sequence[str] = NORMS) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def fit_kmeans(features: DataFrame, k: int, restarts: int = 10, seed: int = 42,
-               parallelism: int = 8) -> KMeansModel:
-    """Best of several seeded fits by within-cluster cost; fits run as concurrent Spark jobs."""
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=100, tol=1e-4).fit(features)
+def nearest(columns: Sequence[str], centers: np.ndarray) -> Column:
+    """0-based index of the closest centre; the first one on ties."""
+    distances = F.array(*[
+        sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(columns, center)), F.lit(0.0))
+        for center in centers])
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
+def _spread_seeds(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centres: each next one drawn by squared distance to those chosen before."""
+    chosen = [sample[rng.integers(len(sample))]]
+    for _ in range(k - 1):
+        gap = np.min([((sample - c) ** 2).sum(axis=1) for c in chosen], axis=0)
+        total = gap.sum()
+        weights = gap / total if total > 0 else None
+        chosen.append(sample[rng.choice(len(sample), p=weights)])
+    return np.array(chosen)
+
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(fit, range(restarts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def _cluster_sums(points: DataFrame, columns: list[str], runs: list[np.ndarray]) -> pd.DataFrame:
+    """Count, coordinate sums and cost per (run, cluster), one pass."""
+    schema = "run int, cluster int, n long, cost double, " + ", ".join(
+        f"s{j} double" for j in range(len(columns)))
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch[columns].to_numpy()
+            out = []
+            for run, centers in enumerate(runs):
+                squared = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+                label = squared.argmin(axis=1)
+                best = squared[np.arange(len(x)), label]
+                for c in np.unique(label):
+                    mine = label == c
+                    out.append((run, c, mine.sum(), best[mine].sum(), *x[mine].sum(axis=0)))
+            yield pd.DataFrame(out, columns=["run", "cluster", "n", "cost"] + [
+                f"s{j}" for j in range(len(columns))])
+
+    sums = points.select(*columns).mapInPandas(part, schema)
+    return sums.groupBy("run", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+        *[F.sum(f"s{j}").alias(f"s{j}") for j in range(len(columns))]).toPandas()
+
+
+def fit_runs(points: DataFrame, key: str, ks: Sequence[int], restarts: int = 10, seed: int = 42,
+             columns: Sequence[str] = NORMS) -> dict[int, Fit]:
+    """Lowest-cost fit per k over several starts, all runs advancing in the same passes."""
+    columns = list(columns)
+    n = points.count()
+    keep = max(1, n // SEED_ROWS)
+    sample = points.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(keep)) == 0).orderBy(key).select(
+        *columns).limit(4 * SEED_ROWS).toPandas().to_numpy()
+    rng = np.random.default_rng(seed)
+    runs = [_spread_seeds(sample, k, rng) for k in ks for _ in range(restarts)]
+    costs = [math.inf] * len(runs)
+    scale = float(np.mean(sample.var(axis=0))) or 1.0
+    active = list(range(len(runs)))
+    for _ in range(MAX_ITERATIONS):
+        sums = _cluster_sums(points, columns, [runs[i] for i in active])
+        moving = []
+        for at, i in enumerate(active):
+            mine = sums[sums["run"] == at]
+            costs[i] = float(mine["cost"].sum())
+            centers = runs[i].copy()
+            index = mine["cluster"].to_numpy()
+            centers[index] = mine[[f"s{j}" for j in range(len(columns))]].to_numpy() / mine[
+                ["n"]].to_numpy()
+            shift = float(((centers - runs[i]) ** 2).sum())
+            runs[i] = centers
+            if shift > TOLERANCE * scale:
+                moving.append(i)
+        active = moving
+        if not active:
+            break
+    sums = _cluster_sums(points, columns, runs)
+    costs = sums.groupby("run")["cost"].sum().reindex(range(len(runs))).tolist()
+    best: dict[int, Fit] = {}
+    for i, k in enumerate(k for k in ks for _ in range(restarts)):
+        if k not in best or costs[i] < best[k].cost:
+            best[k] = Fit(k, runs[i], costs[i])
+    return best
 
 
 def silhouette_squared(predicted: DataFrame) -> float:
@@ -47,89 +133,86 @@ def silhouette_squared(predicted: DataFrame) -> float:
 
 
 def silhouette_euclid(points: DataFrame, key: str, columns: Sequence[str],
-                      cluster: str = "prediction", chunk: int = CHUNK) -> DataFrame:
-    """Mean silhouette on Euclidean distance.
+                      clusters: Sequence[str], chunk: int = CHUNK) -> DataFrame:
+    """Mean silhouette on Euclidean distance, one row per clustering column.
 
-    It needs every point's distance sum to every cluster. The points are cut into chunks of at most
-    ``chunk`` rows; each chunk in turn goes to all tasks, which add up distance sums for their own
-    points. No pair of points becomes a row, and any number of chunks gives the same answer.
+    It needs every point's distance sum to every cluster. The points are cut into hash chunks of
+    about ``chunk`` rows; each chunk in turn goes to all tasks, which add up distance sums for
+    their own points. No pair of points becomes a row, and any number of chunks gives the same
+    answer.
     """
-    columns = list(columns)
-    base = points.select(F.col(key).cast("string").alias("_k"), F.col(cluster).cast("int").alias("_c"),
-                         *[F.col(c).cast("double").alias(c) for c in columns])
-    n = base.count()
-    n_chunks = max(1, math.ceil(n / chunk))
-    if n_chunks > 1:
-        placed = number_rows(base, "_k", "_k", n_rows=n).withColumn(
-            "_chunk", F.floor((F.col("_pos") - 1) / chunk)).select(*base.columns, "_chunk")
-    else:
-        placed = base.withColumn("_chunk", F.lit(0))
-    schema = "_k string, _c int, other int, total double"
+    columns, clusters = list(columns), list(clusters)
+    base = points.select(F.col(key).cast("string").alias("_k"),
+                         *[F.col(c).cast("double").alias(c) for c in columns],
+                         *[F.col(c).cast("int").alias(c) for c in clusters])
+    n_chunks = max(1, math.ceil(base.count() / chunk))
+    slot = F.pmod(F.xxhash64("_k"), F.lit(n_chunks))
+    schema = "_k string, clustering string, own int, other int, total double"
 
     def sums_against(part: pd.DataFrame):
-        labels = sorted(part["_c"].unique())
-        groups = {c: part.loc[part["_c"] == c, columns].to_numpy() for c in labels}
+        there = part[columns].to_numpy()
+        members = {c: {v: (part[c] == v).to_numpy(float) for v in sorted(part[c].unique())}
+                   for c in clusters}
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for own in batches:
-                mine = own[columns].to_numpy()
-                for c, others in groups.items():
-                    total = np.zeros(len(mine))
-                    for at in range(0, len(others), 512):
-                        diff = mine[:, None, :] - others[None, at:at + 512, :]
-                        total += np.sqrt((diff * diff).sum(axis=2)).sum(axis=1)
-                    yield pd.DataFrame({"_k": own["_k"], "_c": own["_c"], "other": int(c),
-                                        "total": total})
+            for batch in batches:
+                for at in range(0, len(batch), 256):
+                    own = batch.iloc[at:at + 256]
+                    diff = own[columns].to_numpy()[:, None, :] - there[None, :, :]
+                    distance = np.sqrt((diff * diff).sum(axis=2))
+                    for c, groups in members.items():
+                        for v, member in groups.items():
+                            yield pd.DataFrame({
+                                "_k": own["_k"], "clustering": c, "own": own[c], "other": int(v),
+                                "total": distance @ member})
         return run
 
-    parts = [
-        base.mapInPandas(
-            sums_against(placed.filter(F.col("_chunk") == i).drop("_chunk").toPandas()), schema)
-        for i in range(n_chunks)]
-    distances = parts[0]
-    for p in parts[1:]:
-        distances = distances.unionByName(p)
-    per_pair = distances.groupBy("_k", "_c", "other").agg(F.sum("total").alias("total"))
-    sizes = base.groupBy(F.col("_c").alias("other")).agg(rows().alias("size"))
-    own = F.col("_c") == F.col("other")
-    means = per_pair.join(sizes, "other").groupBy("_k").agg(
-        F.max(F.when(own, F.col("size"))).alias("own_size"),
-        F.max(F.when(own, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"))
+    distances = None
+    for i in range(n_chunks):
+        part = base.mapInPandas(sums_against(base.filter(slot == i).toPandas()), schema)
+        distances = part if distances is None else distances.unionByName(part)
+    named = base.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("clustering"), F.col(c).alias("other")) for c in clusters])))
+    sizes = named.groupBy("clustering", "other").agg(rows().alias("size"))
+    own = F.col("own") == F.col("other")
+    means = (
+        distances.groupBy("_k", "clustering", "own", "other").agg(F.sum("total").alias("total"))
+        .join(sizes, ["clustering", "other"]).groupBy("_k", "clustering").agg(
+            F.max(F.when(own, F.col("size"))).alias("own_size"),
+            F.max(F.when(own, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
+            F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b")))
     width = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
     value = F.when(F.col("own_size") == 1, 0.0).otherwise(F.coalesce(width, F.lit(0.0)))
-    return means.agg(F.avg(value).alias("silhouette"))
+    return means.groupBy("clustering").agg(F.avg(value).alias("silhouette"))
 
 
 def kmeans_sweep(df: DataFrame, key: str, ks: Sequence[int] = range(2, 9), restarts: int = 10,
                  seed: int = 42, columns: Sequence[str] = NORMS) -> DataFrame:
     """Inertia and silhouette per k; the best k is the first with the largest silhouette."""
-    features = with_features(df.select(key, *columns), columns).persist()
+    ks = list(ks)
+    points = df.select(key, *columns).persist()
     try:
-        out = []
-        for k in ks:
-            model = fit_kmeans(features, k, restarts, seed)
-            predicted = model.transform(features)
-            width = silhouette_euclid(predicted, key, columns).first()["silhouette"]
-            out.append((k, float(model.summary.trainingCost), float(width)))
+        fits = fit_runs(points, key, ks, restarts, seed, columns)
+        labelled = points.withColumns({f"k{k}": nearest(columns, fits[k].centers) for k in ks})
+        width = {r["clustering"]: r["silhouette"] for r in silhouette_euclid(
+            labelled, key, columns, [f"k{k}" for k in ks]).collect()}
     finally:
-        features.unpersist()
-    best = max(range(len(out)), key=lambda i: (out[i][2], -i))
+        points.unpersist()
+    best = max(ks, key=lambda k: (width[f"k{k}"], -k))
     return df.sparkSession.createDataFrame(
-        [Row(k=k, inercia=c, silhouette=s, melhor=i == best) for i, (k, c, s) in enumerate(out)])
+        [(k, fits[k].cost, width[f"k{k}"], k == best) for k in ks],
+        "k int, inercia double, silhouette double, melhor boolean")
 
 
-def kmeans_assign(df: DataFrame, k: int, restarts: int = 10, seed: int = 42,
-                  columns: Sequence[str] = NORMS) -> tuple[DataFrame, KMeansModel]:
-    """Cluster id per row (``cluster_km``) and the fitted model."""
-    features = with_features(df, columns).persist()
+def kmeans_assign(df: DataFrame, key: str, k: int, restarts: int = 10, seed: int = 42,
+                  columns: Sequence[str] = NORMS) -> tuple[DataFrame, np.ndarray]:
+    """Cluster id per row (``cluster_km``) and the centres of the best fit."""
+    points = df.select(key, *columns).persist()
     try:
-        model = fit_kmeans(features, k, restarts, seed)
+        centers = fit_runs(points, key, [k], restarts, seed, columns)[k].centers
     finally:
-        features.unpersist()
-    assigned = model.transform(with_features(df, columns)).withColumnRenamed(
-        "prediction", "cluster_km").drop("features")
-    return assigned, model
+        points.unpersist()
+    return df.withColumn("cluster_km", nearest(columns, centers)), centers
 
 
 def cluster_profile(assigned: DataFrame) -> DataFrame:
@@ -150,7 +233,7 @@ def cluster_label(profile: DataFrame, entities: DataFrame) -> DataFrame:
     return profile.withColumn("cluster_km_label", label)
 
 
-def pca_2d(df: DataFrame, key: str, model: KMeansModel, columns: Sequence[str] = NORMS) -> DataFrame:
+def pca_2d(df: DataFrame, key: str, centers: np.ndarray, columns: Sequence[str] = NORMS) -> DataFrame:
     """Two principal components of the rows and of the cluster centres, with variance shares.
 
     The data are centred first. The sign of a component is arbitrary; its largest loading is made
@@ -164,7 +247,7 @@ def pca_2d(df: DataFrame, key: str, model: KMeansModel, columns: Sequence[str] =
         *[F.col(c).cast("double").alias(c) for c in columns])
     centres = spark.createDataFrame(
         [("centroide", str(i), i, *[float(v) for v in c])
-         for i, c in enumerate(model.clusterCenters())],
+         for i, c in enumerate(centers)],
         f"tipo string, chave string, cluster_km int, {', '.join(f'{c} double' for c in columns)}")
 
     def centred(part: DataFrame) -> DataFrame:

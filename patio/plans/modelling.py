@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from patio.columns import ENTITY, ID, PRICE, YEAR
 from patio.functions.numeric import round_stable
-from patio.operators import clustering, comparing, regression, stats, summaries
-from patio.plans.registry import LISTINGS, query, rnd
+from patio.operators import clustering, comparing, regression, rfm, stats, summaries
+from patio.plans.registry import LISTINGS, query, rfm_cte, rnd
 from patio.plans.segmentation import entities
 from patio.session import durable
 from patio.sources.views import listings
@@ -16,7 +16,7 @@ K = 6
 
 
 def _clustered(spark, sf):
-    return clustering.kmeans_assign(entities(spark, sf), K)
+    return clustering.kmeans_assign(entities(spark, sf), ENTITY, K)
 
 
 def _labelled(spark, sf):
@@ -39,7 +39,7 @@ def _(spark, sf):
 @query("silhouette_euclid")
 def _(spark, sf):
     assigned = durable(_clustered(spark, sf)[0])
-    return clustering.silhouette_euclid(assigned, ENTITY, clustering.NORMS, "cluster_km")
+    return clustering.silhouette_euclid(assigned, ENTITY, clustering.NORMS, ["cluster_km"])
 
 
 @query("silhouette_squared")
@@ -50,13 +50,21 @@ def _(spark, sf):
         F.lit(clustering.silhouette_squared(features)).alias("silhouette_quadratica"))
 
 
-@query("silhouette_by_segment", None)
+@query("silhouette_by_segment", f"""WITH {rfm_cte('marca_modelo')},
+d AS (SELECT a.marca_modelo, a.segmento_rfm AS own, b.segmento_rfm AS other,
+        sum(sqrt(pow(a.R_norm - b.R_norm, 2) + pow(a.F_norm - b.F_norm, 2) + pow(a.M_norm - b.M_norm, 2))) AS t,
+        count(*) AS n FROM seg a, seg b GROUP BY 1, 2, 3),
+w AS (SELECT marca_modelo, max(n) FILTER (WHERE own = other) AS size,
+        max(t / nullif(n - 1, 0)) FILTER (WHERE own = other) AS a,
+        min(t / n) FILTER (WHERE own <> other) AS b FROM d GROUP BY 1)
+SELECT {rnd('avg(CASE WHEN size = 1 THEN 0 ELSE coalesce((b - a) / greatest(a, b), 0) END)', 6)} AS silhouette
+FROM w""")
 def _(spark, sf):
     """Same measure on a partition that SQL can reproduce: the rule-based segments."""
     segmented = entities(spark, sf)
-    coded = segmented.withColumn("grupo", F.dense_rank().over(
-        summaries.Window.orderBy("segmento_rfm")))
-    return clustering.silhouette_euclid(coded, ENTITY, clustering.NORMS, "grupo").select(
+    coded = segmented.withColumn("grupo", F.array_position(
+        F.array(*[F.lit(name) for name in rfm.SEGMENTS]), F.col("segmento_rfm")))
+    return clustering.silhouette_euclid(coded, ENTITY, clustering.NORMS, ["grupo"]).select(
         round_stable(F.col("silhouette"), 6).alias("silhouette"))
 
 
@@ -84,8 +92,8 @@ def _(spark, sf):
 
 @query("pca_2d")
 def _(spark, sf):
-    assigned, model = _clustered(spark, sf)
-    return clustering.pca_2d(durable(assigned), ENTITY, model)
+    assigned, centers = _clustered(spark, sf)
+    return clustering.pca_2d(durable(assigned), ENTITY, centers)
 
 
 def _engineered(spark, sf):
