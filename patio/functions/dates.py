@@ -5,18 +5,18 @@ from pyspark.sql import functions as F
 
 # Accepted date shapes, tried in this order.
 DATE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "y-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/y"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "y/M/d"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-y"),
+    ("[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", "y-M-d"),
+    ("[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "d/M/y"),
+    ("[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "y/M/d"),
+    ("[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}", "M-d-y"),
 ]
 
 
 def parse_date_multi(x: Column) -> Column:
-    s = F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    """First format whose shape matches (surrounding whitespace allowed) and names a real day."""
     return F.coalesce(*[
-        F.when(s.rlike(shape), F.try_to_date(s, pattern)) for shape, pattern in DATE_FORMATS
-    ])
+        F.try_to_date(F.regexp_extract(x, rf"(?U)^\s*({shape})\s*$", 1), pattern)
+        for shape, pattern in DATE_FORMATS])
 
 
 def format_date_br(d: Column) -> Column:

@@ -12,8 +12,8 @@ CURRENCY_CHARS = r"(?U)[R$\s]"
 
 def coerce_number(x: Column) -> Column:
     """Text to double, null where it is not a plain decimal number."""
-    s = F.trim(x.cast("string"))
-    return F.when(s.rlike(NUMBER), s.try_cast("double"))
+    # an empty extract (no match) casts to null
+    return F.regexp_extract(F.trim(x.cast("string")), NUMBER, 0).try_cast("double")
 
 
 def parse_price(x: Column) -> Column:

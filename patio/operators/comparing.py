@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patio.columns import AVAILABLE, BAND_CUTS, ENTITY, FUEL, ID, PRICE, STATUS, YEAR
 from patio.functions.labels import outlier_label, price_band, relative_label
 from patio.functions.numeric import round_stable
-from patio.session import scalar_struct
+from patio.session import lookup_side, scalar_struct
 
 BAND = "faixa_preco"
 
@@ -25,7 +25,8 @@ def band_deviation(df: DataFrame, cuts: Sequence[float] = BAND_CUTS,
     """Each listing against the rounded mean of its band. ``n=None`` returns every listing."""
     banded = df.withColumn(BAND, price_band(F.col(PRICE), cuts))
     means = banded.groupBy(BAND).agg(round_stable(F.avg(PRICE)).alias("media_da_faixa"))
-    out = banded.join(means, BAND).select(
+    # at most one row per label
+    out = banded.join(F.broadcast(means), BAND).select(
         ID, ENTITY, FUEL, F.round(PRICE, 2).alias(PRICE), BAND, "media_da_faixa",
         round_stable(F.col(PRICE) - F.col("media_da_faixa")).alias("desvio_da_media"),
         relative_label(F.col(PRICE), F.col("media_da_faixa")).alias("posicao_relativa"))
@@ -39,7 +40,7 @@ def value_score(df: DataFrame, n: int = 20, base_year: int = 2010,
     mean, price = F.col("preco_medio_modelo"), F.col(PRICE)
     discount = (mean - price) / mean * 100.0
     return (
-        df.filter(F.col(STATUS) == status).join(means, ENTITY).filter(price < mean)
+        df.filter(F.col(STATUS) == status).join(lookup_side(means), ENTITY).filter(price < mean)
         .select(
             ID, ENTITY, YEAR, FUEL, F.round(price, 2).alias(PRICE), "preco_medio_modelo",
             round_stable(discount, 1).alias("desconto_vs_media_pct"),
@@ -62,4 +63,4 @@ def sigma_outliers(df: DataFrame, value: str = PRICE, keep: Sequence[str] = (ID,
 
 def label_lookup(df: DataFrame, key: str, labels: DataFrame, label: str) -> DataFrame:
     """Attach a label from a small key -> label table; unmatched keys get null."""
-    return df.join(labels.select(key, label), key, "left")
+    return df.join(lookup_side(labels.select(key, label)), key, "left")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patio.operators.ordered import MAX_SPLITS, bucket_of, split_points
-from patio.session import scalar_struct, small_rows
+from patio.session import lookup_side, scalar_struct, small_rows
 
 
 def _located(df: DataFrame, keys: list[str], value: str, probs: Sequence[float],
@@ -42,6 +42,8 @@ def _located(df: DataFrame, keys: list[str], value: str, probs: Sequence[float],
     for k in ks:
         match = match & F.col(k).eqNullSafe(F.col(f"t{k}"))
 
+    # without keys at most two cells per probability, otherwise counted first
+    targets = lookup_side(targets) if keys else F.broadcast(targets)
     counted = rows.join(targets, match).groupBy(*ks, "_b", "_off", "_n", "_x").agg(
         F.count(F.lit(1)).alias("_c"))
     inside = Window.partitionBy(*ks, "_b", "_off", "_n").orderBy("_x")

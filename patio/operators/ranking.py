@@ -9,6 +9,7 @@ from patio.columns import BRAND, DATE, FUEL, ID, PRICE
 from patio.functions.labels import quartile_label
 from patio.functions.numeric import pct_change, round_stable
 from patio.operators.ordered import (ntile_of, number_rows, percent_rank_of, with_neighbours)
+from patio.session import lookup_side
 
 
 def _top_values(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
@@ -23,23 +24,23 @@ def _top_values(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
         .filter(F.col("_r") <= k).groupBy(F.col(group).alias("_g")).agg(F.min(value).alias("_min"))
     )
     counts = (
-        df.select(group, value).join(kth, F.col(group) == F.col("_g"))
+        df.select(group, value).join(lookup_side(kth), F.col(group) == F.col("_g"))
         .filter(F.col(value) >= F.col("_min"))
         .groupBy(F.col(group).alias("_g"), F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     w = Window.partitionBy("_g").orderBy(F.desc("_v"))
     above = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return counts.select(
-        "_g", "_v", (F.coalesce(above, F.lit(0)) + 1).alias("_rank"),
-        F.row_number().over(w).cast("long").alias("_dense"))
+    return lookup_side(counts.select(
+        "_g", "_v",
+        (F.coalesce(above, F.lit(0)) + 1).alias("rank_preco"),
+        F.row_number().over(w).cast("long").alias("dense_rank_preco")))
 
 
 def rank_triplet(df: DataFrame, group: str = BRAND, value: str = PRICE, tie: str = ID,
                  k: int = 3) -> DataFrame:
     """RANK, DENSE_RANK and ROW_NUMBER by value descending, rows with RANK <= k (ties kept)."""
-    tops = _top_values(df, group, value, k).select(
-        "_g", "_v", F.col("_rank").alias("rank_preco"), F.col("_dense").alias("dense_rank_preco"))
+    tops = _top_values(df, group, value, k)
     kept = df.join(tops, (F.col(group) == F.col("_g")) & (F.col(value) == F.col("_v")))
     kept = kept.select(*df.columns, "rank_preco", "dense_rank_preco")
     numbered = number_rows(kept, tie, tie, within=[group, value])
@@ -49,7 +50,7 @@ def rank_triplet(df: DataFrame, group: str = BRAND, value: str = PRICE, tie: str
 
 def top_by_rank(df: DataFrame, group: str = BRAND, value: str = PRICE, k: int = 3) -> DataFrame:
     """Rows with RANK <= k by value descending; ties kept, so a group may give more than k."""
-    tops = _top_values(df, group, value, k).withColumnRenamed("_rank", "rank_preco")
+    tops = _top_values(df, group, value, k)
     kept = df.join(tops, (F.col(group) == F.col("_g")) & (F.col(value) == F.col("_v")))
     return kept.select(*df.columns, "rank_preco")
 

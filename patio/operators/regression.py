@@ -5,6 +5,7 @@ would only move the intercept of the linear models and no split of a tree, so fi
 """
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -104,7 +105,7 @@ def scale_features(train: DataFrame) -> Scaler:
 
 def estimator(name: str, train: DataFrame):
     """Ridge with alpha 1 and lasso with alpha 10 in the scale of the sum-of-squares objective."""
-    linear = LinearRegression(solver="normal", standardization=False, maxIter=5000, tol=1e-9)
+    linear = LinearRegression(solver="auto", standardization=False, maxIter=5000, tol=1e-9)
     if name == "linear":
         return linear
     if name == "ridge":
@@ -135,17 +136,23 @@ def regression_metrics(predicted: DataFrame, by: Sequence[str] = ("modelo",)) ->
         round_stable(F.sqrt(F.avg(error * error)), 4).alias("rmse"))
 
 
-def kfold_cv(train: DataFrame, names: Sequence[str] = MODELS, folds: int = 5, seed: int = 43
-             ) -> DataFrame:
-    """R2 per model and fold on the already scaled training rows."""
+def kfold_cv(train: DataFrame, names: Sequence[str] = MODELS, folds: int = 5, seed: int = 43,
+             parallelism: int = 4) -> DataFrame:
+    """R2 per model and fold on the already scaled training rows; fits run as concurrent jobs."""
     fold = hash_bucket(seed, folds)
-    scored = None
-    for name in names:
-        for i in range(folds):
-            _, predicted = predict(name, train.filter(fold != i), train.filter(fold == i))
-            part = predicted.withColumn("fold", F.lit(i + 1))
-            scored = part if scored is None else scored.unionByName(part)
-    return regression_metrics(scored, ["modelo", "fold"]).select("modelo", "fold", "r2")
+    rows = train.persist()
+
+    def score(job: tuple[str, int]) -> tuple[str, int, float]:
+        name, i = job
+        _, predicted = predict(name, rows.filter(fold != i), rows.filter(fold == i))
+        return name, i + 1, regression_metrics(predicted).first()["r2"]
+
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(score, [(m, i) for m in names for i in range(folds)]))
+    finally:
+        rows.unpersist()
+    return train.sparkSession.createDataFrame(scores, "modelo string, fold int, r2 double")
 
 
 def _ranking(train: DataFrame, names: Sequence[str], values: Sequence[float], column: str, n: int

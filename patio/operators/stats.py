@@ -12,7 +12,7 @@ from patio.functions.numeric import round_stable
 from patio.functions.special import f_sf, normal_ppf, t_two_sided
 from patio.operators.ordered import number_rows
 from patio.operators.quantiles import quantile_row, quantile_scalars, quantiles_by
-from patio.session import scalar_struct
+from patio.session import lookup_side, scalar_struct
 
 KERNEL_REACH = 39.0  # exp(-39**2 / 2) is zero in double precision
 
@@ -196,15 +196,14 @@ def average_ranks(df: DataFrame, columns: Sequence[str], tie: str,
 
     ``discrete`` columns have few values: their ranks come from value counts.
     """
-    n_before = df.dropna(subset=list(columns))
-    out = n_before
+    out = df.dropna(subset=list(columns))
     for c in columns:
         if c in discrete:
             counts = out.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
             upto = F.sum("_c").over(
                 Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
             ranks = counts.select("_v", (upto - (F.col("_c") - 1) / 2.0).alias(f"{c}_rank"))
-            out = out.join(ranks, F.col(c) == F.col("_v")).drop("_v")
+            out = out.join(lookup_side(ranks), F.col(c) == F.col("_v")).drop("_v")
         else:
             kept = out.columns
             numbered = number_rows(out, c, tie)
@@ -275,8 +274,8 @@ def ols_line(trend: DataFrame, points: int = 100) -> DataFrame:
     i = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("ponto")
     spread = trend.select("*", i)
     x = F.col("x_min") + (F.col("x_max") - F.col("x_min")) * F.col("ponto") / (points - 1)
-    return spread.select("ponto", round_stable(x, 6).alias("x"),
-                         round_stable(F.col("inclinacao") * x + F.col("intercepto"), 6).alias("y"))
+    return spread.select("ponto", x.alias("x"),
+                         (F.col("inclinacao") * x + F.col("intercepto")).alias("y"))
 
 
 def histogram(df: DataFrame, value: str = PRICE, bins: int = 50, scale: float = 1.0) -> DataFrame:
@@ -332,7 +331,7 @@ def boxplot_stats(df: DataFrame, group: str, value: str = PRICE) -> DataFrame:
     x = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
-    joined = df.select(group, value).join(boxes, F.col(group).eqNullSafe(F.col("_g")))
+    joined = df.select(group, value).join(lookup_side(boxes), F.col(group).eqNullSafe(F.col("_g")))
     return joined.groupBy(group).agg(
         round_stable(F.max("q1"), 4).alias("q1"), round_stable(F.max("mediana"), 4).alias("mediana"),
         round_stable(F.max("q3"), 4).alias("q3"),

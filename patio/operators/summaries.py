@@ -170,7 +170,8 @@ def topk_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 def topk_membership(df: DataFrame, column: str = BRAND, k: int = 5) -> DataFrame:
     """Rows whose value is among the k most frequent ones."""
-    return df.join(topk_values(df, column, k), column, "left_semi")
+    # the right side has k rows
+    return df.join(F.broadcast(topk_values(df, column, k)), column, "left_semi")
 
 
 def brand_year_median(df: DataFrame, brands: Sequence[str]) -> DataFrame:

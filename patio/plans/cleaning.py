@@ -100,20 +100,20 @@ def _parsed(spark, sf):
 
 @query("impute_median_int", f"""WITH {CLEAN} SELECT id, ano_fabricacao FROM aged""")
 def _(spark, sf):
-    return cleaning.impute_median_int(_parsed(spark, sf).select(ID, YEAR))
+    return cleaning.impute_median_int(durable(_parsed(spark, sf).select(ID, YEAR)))
 
 
 @query("filter_year_range", f"""WITH {CLEAN}
 SELECT id, ano_fabricacao FROM aged WHERE ano_fabricacao BETWEEN 1985 AND 1998""")
 def _(spark, sf):
-    aged = cleaning.impute_median_int(_parsed(spark, sf).select(ID, YEAR))
+    aged = cleaning.impute_median_int(durable(_parsed(spark, sf).select(ID, YEAR)))
     return cleaning.filter_year_range(aged, 1998, 1985)
 
 
 @query("filter_positive_or_null", f"""WITH {PARSED}
 SELECT id, preco_brl FROM parsed WHERE preco_brl IS NULL OR preco_brl > 0""")
 def _(spark, sf):
-    return cleaning.filter_positive_or_null(_parsed(spark, sf).select(ID, PRICE))
+    return cleaning.filter_positive_or_null(durable(_parsed(spark, sf).select(ID, PRICE)))
 
 
 @query("impute_median_price", f"WITH {CLEAN} SELECT id, preco_brl FROM priced")
@@ -128,7 +128,7 @@ SELECT id, coalesce(data_anuncio, (
   SELECT data_anuncio FROM parsed WHERE data_anuncio IS NOT NULL GROUP BY data_anuncio
   ORDER BY count(*) DESC, data_anuncio LIMIT 1)) AS data_anuncio FROM parsed""")
 def _(spark, sf):
-    return cleaning.impute_mode_date(_parsed(spark, sf).select(ID, DATE))
+    return cleaning.impute_mode_date(durable(_parsed(spark, sf).select(ID, DATE)))
 
 
 _CLEAN_COLUMNS = "id, marca_modelo, ano_fabricacao, preco_brl, data_anuncio, combustivel, status"

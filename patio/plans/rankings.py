@@ -1,8 +1,10 @@
 """Ranks, moving windows and running totals."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from patio.columns import BRAND, DATE, ENTITY, FUEL, ID, PRICE, STATUS, YEAR
+from patio.columns import BRAND, DATE, ENTITY, FUEL, ID, PRICE, SOLD, STATUS, YEAR
+from patio.functions.numeric import pct_change, round_stable
 from patio.operators import ranking
 from patio.operators.summaries import with_brand
 from patio.plans.registry import LISTINGS, query, rnd
@@ -75,15 +77,19 @@ def _(spark, sf):
     return ranking.first_rows(ranking.price_neighbors(first), 60)
 
 
-@query("safe_pct_change", f"""WITH {LISTINGS}
-SELECT id, {rnd('(preco_brl - lag(preco_brl) OVER w) * 100.0 / nullif(lag(preco_brl) OVER w, 0)')} AS variacao_pct
-FROM listings WINDOW w AS (PARTITION BY o_custkey ORDER BY data_anuncio, id)""")
+@query("safe_pct_change", f"""WITH {LISTINGS},
+d AS (SELECT data_anuncio, sum(CASE WHEN status = 'Vendido' AND combustivel = 'Flex'
+        THEN preco_brl ELSE 0 END) AS v FROM listings GROUP BY 1)
+SELECT data_anuncio, {rnd('v')} AS vendas, {rnd('(v - lag(v) OVER w) * 100.0 / nullif(lag(v) OVER w, 0)')} AS variacao_pct
+FROM d WINDOW w AS (ORDER BY data_anuncio)""")
 def _(spark, sf):
-    from pyspark.sql import Window
-    from patio.functions.numeric import pct_change, round_stable
-    w = Window.partitionBy("o_custkey").orderBy(DATE, ID)
-    return listings(spark, sf, entity=False).select(
-        ID, round_stable(pct_change(F.col(PRICE), F.lag(PRICE).over(w))).alias("variacao_pct"))
+    """Daily sales against the previous day; days without sales have no change after them."""
+    sold = (F.col(STATUS) == SOLD) & (F.col(FUEL) == "Flex")
+    days = listings(spark, sf, entity=False).groupBy(DATE).agg(
+        F.sum(F.when(sold, F.col(PRICE)).otherwise(0.0)).alias("v"))
+    before = F.lag("v").over(Window.orderBy(DATE))
+    return days.select(DATE, round_stable(F.col("v")).alias("vendas"),
+                       round_stable(pct_change(F.col("v"), before)).alias("variacao_pct"))
 
 
 _RT = f"""WITH {LISTINGS}

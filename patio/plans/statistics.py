@@ -248,7 +248,8 @@ p AS (SELECT CAST(i AS INTEGER) AS ponto, lo + (hi - lo) * i / 99 AS x, m, b FRO
 SELECT ponto, {rnd('x', 6)} AS x, {rnd('m * x + b', 4)} AS y FROM p""")
 def _(spark, sf):
     line = stats.ols_line(stats.ols_trend(_plain(spark, sf)))
-    return line.select("ponto", "x", round_stable(F.col("y"), 4).alias("y"))
+    return line.select("ponto", round_stable(F.col("x"), 6).alias("x"),
+                       round_stable(F.col("y"), 4).alias("y"))
 
 
 def _hist_sql(source, value, bins):

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 SMALL_ROWS_KEY = "patio.smallRows"
 SMALL_ROWS = 1_000_000
+BROADCAST_ROWS_KEY = "patio.broadcastRows"
+BROADCAST_ROWS = 200_000
 
 
 def build_session(cores: str | int = "*", app: str = "patio") -> SparkSession:
@@ -43,6 +45,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def lookup_side(small: DataFrame) -> DataFrame:
+    """A reduced table about to be joined to rows: stored once, counted, and broadcast when its
+    row count is within the bound; beyond it the join is left to shuffle (with skew handling)."""
+    stored = durable(small)
+    limit = int(small.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(BROADCAST_ROWS)))
+    return F.broadcast(stored) if stored.count() <= limit else stored
+
+
 def scalar_struct(one_row: DataFrame) -> Column:
     """All columns of a one-row aggregate as a struct scalar subquery."""
     return one_row.select(F.struct(*one_row.columns)).scalar()
