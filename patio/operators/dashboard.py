@@ -100,7 +100,7 @@ def brand_revenue(df: DataFrame) -> DataFrame:
 
 def status_share(df: DataFrame) -> DataFrame:
     counts = df.groupBy(STATUS).agg(rows().alias("qtd"))
-    return counts.select("*", share_of_total(counts, "qtd", 1).alias("pct"))
+    return counts.select("*", share_of_total("qtd", 1).alias("pct"))
 
 
 def fuel_avg_price(df: DataFrame) -> DataFrame:

@@ -21,11 +21,15 @@ QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
 
 def rfm_metrics(df: DataFrame, key: str = ENTITY) -> DataFrame:
-    """One row per key. Recency counts days to the day after the latest listing of all."""
-    per_key = df.groupBy(key).agg(
+    """One row per key. Recency counts days to the day after the latest listing of all.
+
+    The grouped rows are written to the checkpoint folder, so the listings are scanned once
+    whatever is computed from them afterwards.
+    """
+    per_key = durable(df.groupBy(key).agg(
         F.max(DATE).alias("_last"), F.count(ID).alias("frequency"), F.avg(PRICE).alias("monetary"),
         F.max(PRICE).alias("preco_max"), F.min(PRICE).alias("preco_min"),
-        F.avg(YEAR).alias("ano_medio"))
+        F.avg(YEAR).alias("ano_medio")))
     ref = per_key.agg(F.date_add(F.max("_last"), 1)).scalar()
     out = per_key.select(
         key, F.date_diff(ref, F.col("_last")).cast("long").alias("recency"), "frequency",
@@ -91,19 +95,14 @@ def rfm_standardize(rfm: DataFrame) -> DataFrame:
 
 
 def segment_entities(df: DataFrame, key: str = ENTITY, on_ties: str = "raise") -> DataFrame:
-    """Metrics, scores, composite, segment and standardised columns in one table.
-
-    The per-key metrics are written to the checkpoint folder once: edges, moments and the result
-    read them, and the listings are scanned a single time.
-    """
-    metrics = durable(rfm_metrics(df, key))
-    scored = rfm_composite(rfm_scores(metrics, on_ties))
+    """Metrics, scores, composite, segment and standardised columns in one table."""
+    scored = rfm_composite(rfm_scores(rfm_metrics(df, key), on_ties))
     return rfm_standardize(rfm_segment(scored))
 
 
 def rfm_segment_share(segmented: DataFrame) -> DataFrame:
     counts = segmented.groupBy("segmento_rfm").agg(rows().alias("n"))
-    return counts.select("*", share_of_total(counts, "n", 1).alias("pct")).orderBy(
+    return counts.select("*", share_of_total("n", 1).alias("pct")).orderBy(
         F.desc("n"), "segmento_rfm")
 
 

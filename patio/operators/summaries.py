@@ -12,6 +12,7 @@ from patio.functions.labels import price_band
 from patio.functions.numeric import round_stable
 from patio.functions.text import brand_of
 from patio.operators.quantiles import quantile_scalars, quantiles_by
+from patio.session import durable
 
 
 def rows() -> Column:
@@ -26,9 +27,16 @@ def flag_sum(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
-def share_of_total(grouped: DataFrame, count: str, digits: int) -> Column:
-    """Percent of the grand total, from the grouped rows (one reduced value, no global window)."""
-    total = grouped.agg(F.sum(count)).scalar()
+def share_of_total(count: str, digits: int) -> Column:
+    """Percent of the grand total over already grouped rows of a small domain (years, fuels, bands,
+    statuses, segments): the source is scanned once."""
+    total = F.sum(count).over(Window.partitionBy())
+    return round_stable(F.col(count) * F.lit(100.0) / total, digits)
+
+
+def share_of_stored(stored: DataFrame, count: str, digits: int) -> Column:
+    """Percent of the grand total of stored counts, for domains of any size."""
+    total = stored.agg(F.sum(count)).scalar()
     return round_stable(F.col(count) * F.lit(100.0) / total, digits)
 
 
@@ -50,7 +58,7 @@ def year_share(df: DataFrame) -> DataFrame:
     by_year = df.groupBy(YEAR).agg(
         rows().alias("total_anuncios"), round_stable(F.avg(PRICE)).alias("preco_medio"))
     return by_year.select(
-        YEAR, "total_anuncios", share_of_total(by_year, "total_anuncios", 2).alias("pct_do_total"),
+        YEAR, "total_anuncios", share_of_total("total_anuncios", 2).alias("pct_do_total"),
         "preco_medio").orderBy(YEAR)
 
 
@@ -61,7 +69,7 @@ def fuel_summary(df: DataFrame) -> DataFrame:
         F.round(F.min(PRICE), 2).alias("preco_min"),
         F.round(F.max(PRICE), 2).alias("preco_max"))
     return by_fuel.select(
-        "*", share_of_total(by_fuel, "qtd", 1).alias("pct_estoque")
+        "*", share_of_total("qtd", 1).alias("pct_estoque")
     ).orderBy(F.desc("preco_medio"))
 
 
@@ -69,7 +77,7 @@ def band_distribution(df: DataFrame, cuts: Sequence[float] = BAND_CUTS) -> DataF
     by_band = df.groupBy(price_band(F.col(PRICE), cuts).alias("faixa_preco")).agg(
         rows().alias("total"), round_stable(F.avg(PRICE)).alias("preco_medio"))
     return by_band.select(
-        "*", share_of_total(by_band, "total", 1).alias("pct")).orderBy("faixa_preco")
+        "*", share_of_total("total", 1).alias("pct")).orderBy("faixa_preco")
 
 
 def band_conversion(df: DataFrame, cuts: Sequence[float] = BAND_CUTS) -> DataFrame:
@@ -111,12 +119,24 @@ def fuel_pivot_year(df: DataFrame, fuels: Sequence[str] = FUELS) -> DataFrame:
 
 def freq_table(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     """Count and percent per value, most frequent first, ties by value."""
-    counts = df.groupBy(F.col(column).alias("valor")).agg(rows().alias("qtd"))
-    out = counts.select("*", share_of_total(counts, "qtd", 1).alias("pct")).orderBy(
+    counts = durable(df.groupBy(F.col(column).alias("valor")).agg(rows().alias("qtd")))
+    out = counts.select("*", share_of_stored(counts, "qtd", 1).alias("pct")).orderBy(
         F.desc("qtd"), "valor")
     return out if n is None else out.limit(n)
 
 
+def freq_tables(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Frequency tables of several columns from one scan: the counts of their combinations are
+    stored, and every table and the total come from those."""
+    combos = durable(df.groupBy(*columns).agg(rows().alias("n")))
+    values = combos.select("n", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("coluna"), F.col(c).alias("valor")) for c in columns])))
+    counts = values.groupBy("coluna", "valor").agg(F.sum("n").alias("qtd"))
+    total = combos.agg(F.sum("n")).scalar()
+    return counts.select(
+        "*", round_stable(F.col("qtd") * F.lit(100.0) / total, 1).alias("pct"))
+
+
 def top_entities(df: DataFrame, n: int = 10, column: str = ENTITY) -> DataFrame:
     return df.groupBy(column).agg(rows().alias("total")).orderBy(F.desc("total"), column).limit(n)
 

@@ -90,7 +90,7 @@ def _(spark, sf):
         summaries.rows().alias("total_anuncios"), F.avg(PRICE).alias("m"))
     return by_year.select(
         "ano", "total_anuncios",
-        summaries.share_of_total(by_year, "total_anuncios", 2).alias("pct_do_total"),
+        summaries.share_of_total("total_anuncios", 2).alias("pct_do_total"),
         round_stable(F.lag("m").over(Window.orderBy("ano"))).alias("preco_medio_anterior"))
 
 
@@ -115,14 +115,7 @@ def _freq_sql(column: str) -> str:
 UNION ALL {_freq_sql('combustivel')} UNION ALL {_freq_sql('status')}""")
 def _(spark, sf):
     df = summaries.with_brand(listings(spark, sf))
-    # one scan: the three tables come from the counts of their combinations
-    combos = df.groupBy(BRAND, FUEL, STATUS).agg(summaries.rows().alias("n"))
-    values = combos.select("n", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("coluna"), F.col(c).alias("valor")) for c in (BRAND, FUEL, STATUS)])))
-    counts = values.groupBy("coluna", "valor").agg(F.sum("n").alias("qtd"))
-    total = combos.agg(F.sum("n")).scalar()
-    return counts.select("*", summaries.round_stable(
-        F.col("qtd") * F.lit(100.0) / total, 1).alias("pct"))
+    return summaries.freq_tables(df, [BRAND, FUEL, STATUS])
 
 
 @query("freq_table_entities", f"""WITH {LISTINGS}
