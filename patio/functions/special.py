@@ -53,77 +53,57 @@ def normal_ppf(p: Column) -> Column:
     return F.when(F.abs(q) <= 0.425, near).otherwise(F.signum(q) * far)
 
 
-def _log_gamma_shifted(x: Column) -> Column:
-    inv = F.lit(1.0) / x
-    inv2 = inv * inv
-    return inv * (F.lit(1 / 12) - inv2 * (F.lit(1 / 360) - inv2 * (
-        F.lit(1 / 1260) - inv2 * F.lit(1 / 1680))))
+def _let(binding: str, name: str, body: str) -> str:
+    """Bind a struct expression to a name, so that the body may use it many times."""
+    return f"element_at(transform(array({binding}), {name} -> {body}), 1)"
 
 
-def _log_gamma_step(x: Column, a: Column) -> Column:
-    """ln Γ(x + a) - ln Γ(x) without cancellation for large x."""
-    shift = 10
-    big = x + F.lit(float(shift))
-    ratio = (
-        a * F.log(big) + (big + a - F.lit(0.5)) * F.log1p(a / big) - a
-        + _log_gamma_shifted(big + a) - _log_gamma_shifted(big)
-    )
-    for k in range(shift):
-        ratio = ratio + F.log((x + F.lit(float(k))) / (x + a + F.lit(float(k))))
-    return ratio
+def _gamma_tail(x: str) -> str:
+    """Stirling remainder of ln gamma, accurate from about 10 on."""
+    return f"(1/{x}) * (1/12D - (1/{x}/{x}) * (1/360D - (1/{x}/{x}) * (1/1260D - 1/{x}/{x}/1680)))"
 
 
-def _log_gamma(x: Column) -> Column:
-    return _log_gamma_step(F.lit(1.0), x - F.lit(1.0))
+def _gamma_ratio(x: str, a: str) -> str:
+    """ln gamma(x + a) - ln gamma(x) without cancellation for large x."""
+    big = f"({x} + 10)"
+    low = " + ".join(f"ln(({x} + {k}) / ({x} + {a} + {k}))" for k in range(10))
+    return (f"({a} * ln({big}) + ({big} + {a} - 0.5D) * log1p({a} / {big}) - {a}"
+            f" + {_gamma_tail(f'({big} + {a})')} - {_gamma_tail(big)} + {low})")
 
 
-def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+def _beta_fraction(a: str, b: str, x: str) -> str:
     """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = F.lit(1e-300)
-    one = F.lit(1.0)
-
-    def guard(v: Column) -> Column:
-        return F.when(F.abs(v) < tiny, tiny).otherwise(v)
-
-    d0 = one / guard(one - (a + b) * x / (a + one))
-    start = F.struct(one.alias("c"), d0.alias("d"), d0.alias("h"))
-
-    def apply(c: Column, d: Column, h: Column, term: Column) -> Column:
-        d2 = one / guard(one + term * d)
-        c2 = guard(one + term / c)
-        return F.struct(c2.alias("c"), d2.alias("d"), (h * d2 * c2).alias("h"))
-
-    def step(s: Column, i: Column) -> Column:
-        m = F.floor(i / F.lit(2)).cast("double")
-        even = m * (b - m) * x / ((a + F.lit(2.0) * m - one) * (a + F.lit(2.0) * m))
-        odd = -(a + m) * (a + b + m) * x / (
-            (a + F.lit(2.0) * m) * (a + F.lit(2.0) * m + one))
-        return apply(s["c"], s["d"], s["h"], F.when(i % 2 == 0, even).otherwise(odd))
-
-    return F.aggregate(F.sequence(F.lit(2), F.lit(BETA_STEPS)), start, step)["h"]
-
-
-def _beta_tail(a: Column, b: Column, x: Column, log_x: Column, log_1mx: Column,
-               log_beta: Column) -> Column:
-    front = F.exp(a * log_x + b * log_1mx - log_beta) / a
-    return front * _beta_fraction(a, b, x)
-
-
-def f_sf(f: Column, d1: Column, d2: Column) -> Column:
-    """P(F > f) with d1 and d2 degrees of freedom."""
-    f, d1, d2 = f.cast("double"), d1.cast("double"), d2.cast("double")
-    a, b = d2 / F.lit(2.0), d1 / F.lit(2.0)
-    odds = d1 * f / d2
-    y = F.lit(1.0) / (F.lit(1.0) + odds)
-    comp = odds / (F.lit(1.0) + odds)
-    log_y = -F.log1p(odds)
-    log_comp = F.log(odds) - F.log1p(odds)
-    log_beta = _log_gamma(b) - _log_gamma_step(a, b)
-    upper = _beta_tail(a, b, y, log_y, log_comp, log_beta)
-    lower = F.lit(1.0) - _beta_tail(b, a, comp, log_comp, log_y, log_beta)
-    inside = F.when(y < (a + F.lit(1.0)) / (a + b + F.lit(2.0)), upper).otherwise(lower)
-    return F.when(f <= 0, F.lit(1.0)).otherwise(inside)
-
-
-def t_two_sided(t: Column, df: Column) -> Column:
-    return f_sf(t * t, F.lit(1.0), df)
+    def guard(v: str) -> str:
+        return f"if(abs({v}) < 1e-300D, 1e-300D, {v})"
+
+    m = "floor(i / 2)"
+    even = f"{m} * ({b} - {m}) * {x} / (({a} + 2 * {m} - 1) * ({a} + 2 * {m}))"
+    odd = f"-({a} + {m}) * ({a} + {b} + {m}) * {x} / (({a} + 2 * {m}) * ({a} + 2 * {m} + 1))"
+    d = guard("1 + t * s.d")
+    c = guard("1 + t / s.c")
+    step = _let(f"if(i % 2 = 0, {even}, {odd})", "t", _let(
+        f"named_struct('d', 1 / {d}, 'c', {c})", "n",
+        "named_struct('c', n.c, 'd', n.d, 'h', s.h * n.d * n.c)"))
+    first = guard(f"1 - ({a} + {b}) * {x} / ({a} + 1)")
+    start = f"named_struct('c', 1D, 'd', 1 / {first}, 'h', 1 / {first})"
+    return f"aggregate(sequence(2, {BETA_STEPS}), {start}, (s, i) -> {step}).h"
+
+
+def f_sf(f: str, d1: str, d2: str) -> Column:
+    """P(F > f) with d1 and d2 degrees of freedom; arguments are column names or SQL numbers.
+
+    Regularised incomplete beta function at d2 / (d2 + d1 f), from whichever end converges fast.
+    """
+    odds = f"(double({d1}) * double({f}) / double({d2}))"
+    args = (f"named_struct('a', double({d2}) / 2, 'b', double({d1}) / 2, 'y', 1 / (1 + {odds}), "
+            f"'z', {odds} / (1 + {odds}), 'ly', -log1p({odds}), 'lz', ln({odds}) - log1p({odds}))")
+    log_beta = f"({_gamma_ratio('1D', '(p.b - 1)')} - {_gamma_ratio('p.a', 'p.b')})"
+    front = "exp(p.a * p.ly + p.b * p.lz - q)"
+    upper = f"{front} / p.a * {_beta_fraction('p.a', 'p.b', 'p.y')}"
+    lower = f"1 - {front} / p.b * {_beta_fraction('p.b', 'p.a', 'p.z')}"
+    tail = _let(log_beta, "q", f"if(p.y < (p.a + 1) / (p.a + p.b + 2), {upper}, {lower})")
+    return F.expr(f"if({f} <= 0, 1D, {_let(args, 'p', tail)})")
+
+
+def t_two_sided(t: str, df: str) -> Column:
+    return f_sf(f"({t} * {t})", "1", df)

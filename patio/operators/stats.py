@@ -230,10 +230,10 @@ def corr_significance(df: DataFrame, x: str, y: str, tie: str,
         F.corr(f"{x}_rank", f"{y}_rank").alias("spearman"))
     rows = wide.select("n", F.inline(F.array(*[
         F.struct(F.lit(m).alias("metodo"), F.col(m).alias("r0")) for m in ("pearson", "spearman")])))
-    r, df_free = F.col("r0"), F.col("n") - 2
-    t = r * F.sqrt(df_free / (1 - r * r))
-    return rows.select("metodo", round_stable(r, 6).alias("r"),
-                       round_stable(t_two_sided(t, df_free), 6).alias("p"),
+    r, free = F.col("r0"), F.col("n") - 2
+    tested = rows.select("metodo", "r0", free.alias("gl"), (r * F.sqrt(free / (1 - r * r))).alias("t"))
+    return tested.select("metodo", round_stable(r, 6).alias("r"),
+                       round_stable(t_two_sided("t", "gl"), 6).alias("p"),
                        corr_strength(r).alias("forca"))
 
 
@@ -256,7 +256,7 @@ def anova_oneway(df: DataFrame, group: str, value: str = PRICE,
     tested = sums.select(f.alias("f0"), "d1", "d2")
     return tested.select(
         round_stable(F.col("f0"), 6).alias("f"),
-        round_stable(f_sf(F.col("f0"), F.col("d1"), F.col("d2")), 6).alias("p"),
+        round_stable(f_sf("f0", "d1", "d2"), 6).alias("p"),
         F.col("d1").cast("long").alias("gl_entre"), F.col("d2").cast("long").alias("gl_dentro"))
 
 
@@ -301,21 +301,22 @@ def kde_curve(df: DataFrame, value: str = PRICE, points: int = 300, scale: float
               ) -> DataFrame:
     """Gaussian kernel density (Scott bandwidth) on an even grid from minimum to maximum.
 
-    A row only meets the grid points its kernel reaches; the rest would add exactly zero. The sums
-    are combined on the map side, so one shuffle of ``points`` rows per task follows.
+    Equal values are counted first (amounts in cents repeat often), and a value only meets the grid
+    points its kernel reaches; the rest would add exactly zero.
     """
     data = df.select((F.col(value) / scale).alias("x")).filter(F.col("x").isNotNull())
     s = scalar_struct(data.agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").cast("double").alias("n"),
         F.stddev_samp("x").alias("sd")))
+    weighted = data.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("c"))
     h = s["sd"] * F.pow(s["n"], F.lit(-0.2))
     step = (s["hi"] - s["lo"]) / (points - 1)
     reach = h * KERNEL_REACH
     first = F.greatest(F.floor((F.col("x") - reach - s["lo"]) / step), F.lit(0))
     last = F.least(F.ceil((F.col("x") + reach - s["lo"]) / step), F.lit(points - 1))
-    near = data.select("x", F.explode(F.sequence(first, last)).alias("ponto"))
+    near = weighted.select("x", "c", F.explode(F.sequence(first, last)).alias("ponto"))
     u = (s["lo"] + step * F.col("ponto") - F.col("x")) / h
-    sums = near.groupBy("ponto").agg(F.sum(F.exp(u * u * -0.5)).alias("k"))
+    sums = near.groupBy("ponto").agg(F.sum(F.col("c") * F.exp(u * u * -0.5)).alias("k"))
     density = F.coalesce("k", F.lit(0.0)) / (s["n"] * h * math.sqrt(2 * math.pi))
     return (
         df.sparkSession.range(points).withColumnRenamed("id", "ponto").join(sums, "ponto", "left")

@@ -2,14 +2,13 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SMALL_ROWS_KEY = "patio.smallRows"
 SMALL_ROWS = 1_000_000
-BROADCAST_ROWS_KEY = "patio.broadcastRows"
-BROADCAST_ROWS = 200_000
 
 
 def build_session(cores: str | int = "*", app: str = "patio") -> SparkSession:
@@ -31,26 +30,31 @@ def small_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(SMALL_ROWS_KEY, str(SMALL_ROWS)))
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        base = tempfile.gettempdir()
+    return os.path.join(base, "patio-tables", f"{name}-{uuid.uuid4().hex}")
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through the reliable checkpoint folder of the cluster."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = os.path.join(tempfile.gettempdir(), "patio-checkpoints")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write a result once and go on from the written table.
+
+    Lineage ends there, later reads are columnar, and the planner knows the table's size.
+    """
+    path = scratch_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def lookup_side(small: DataFrame) -> DataFrame:
-    """A reduced table about to be joined to rows: stored once, counted, and broadcast when its
-    row count is within the bound; beyond it the join is left to shuffle (with skew handling)."""
-    stored = durable(small)
-    limit = int(small.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(BROADCAST_ROWS)))
-    return F.broadcast(stored) if stored.count() <= limit else stored
+    """A reduced table about to be joined to rows. Stored first, so that the planner broadcasts it
+    only when its known size is under ``spark.sql.autoBroadcastJoinThreshold``; a larger one is
+    joined by shuffle, with adaptive skew handling."""
+    return durable(small)
 
 
 def scalar_struct(one_row: DataFrame) -> Column:

@@ -1,8 +1,6 @@
 """Writing and reading listings: typed table, query layout, text exports, dashboard bundle."""
 
 import os
-import tempfile
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +15,6 @@ from patio.operators.dashboard import filter_domains, rfm_cards
 BOM = "﻿"
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.gettempdir()
-    return os.path.join(base, "patio-tables", f"{name}-{uuid.uuid4().hex}")
-
-
 def load_typed_table(clean: DataFrame, path: str) -> DataFrame:
     """Replace the typed table at ``path``; a null in any column fails the write."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in RAW_COLUMNS])

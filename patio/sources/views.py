@@ -13,8 +13,21 @@ ORDER_STATUS = {"F": SOLD, "O": AVAILABLE, "P": RESERVED}
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
+# Known schemas of the source tables: reading with them starts no schema inference job.
+SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey long, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey long, n_name string, n_regionkey long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _lookup(column: str, pairs: dict[str, str]):
