@@ -28,8 +28,8 @@ def strip(x: Column) -> Column:
 
 def title_case(x: Column) -> Column:
     """Upper-case the first letter of every run of letters, lower-case the rest."""
-    runs = F.regexp_extract_all(x, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    words = F.split(x, r"(?<=[^\p{L}])(?=\p{L})", -1)
+    return F.array_join(F.transform(words, F.initcap), "")
 
 
 def normalize_text(x: Column, default: str) -> Column:

@@ -40,8 +40,10 @@ def bucket_of(x: Column, splits: Sequence) -> Column:
         F.array(*steps), F.lit(0),
         lambda pos, step: F.when(F.get(points, pos + step - 1) <= x, pos + step).otherwise(pos),
     )
-    on_split = F.get(points, upto - 1) == x
-    return F.when(x.isNull(), F.lit(-1)).when(on_split, upto * 2 - 1).otherwise(upto * 2)
+    # one-element transform: the search result is used three times but computed once
+    cell = F.transform(F.array(upto), lambda u: F.when(
+        F.get(points, u - 1) == x, u * 2 - 1).otherwise(u * 2))
+    return F.when(x.isNull(), F.lit(-1)).otherwise(F.get(cell, 0))
 
 
 def split_points(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, list]:
