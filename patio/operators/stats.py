@@ -12,7 +12,7 @@ from patio.functions.numeric import round_stable
 from patio.functions.special import f_sf, normal_ppf, t_two_sided
 from patio.operators.ordered import number_rows
 from patio.operators.quantiles import quantile_row, quantile_scalars, quantiles_by
-from patio.session import lookup_side, scalar_struct
+from patio.session import durable, lookup_side, scalar_struct, small_rows
 
 KERNEL_REACH = 39.0  # exp(-39**2 / 2) is zero in double precision
 
@@ -194,16 +194,21 @@ def average_ranks(df: DataFrame, columns: Sequence[str], tie: str,
                   discrete: Sequence[str] = ()) -> DataFrame:
     """``<column>_rank``: 1-based ranks, ties averaged, over rows complete in all columns.
 
-    ``discrete`` columns have few values: their ranks come from value counts.
+    ``discrete`` columns have few values: their ranks come from value counts, unless the counts
+    turn out to be too many for one ordering.
     """
+    limit = small_rows(df.sparkSession)
     out = df.dropna(subset=list(columns))
     for c in columns:
+        counts = None
         if c in discrete:
-            counts = out.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+            counts = durable(
+                out.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+        if counts is not None and counts.count() <= limit:
             upto = F.sum("_c").over(
                 Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
             ranks = counts.select("_v", (upto - (F.col("_c") - 1) / 2.0).alias(f"{c}_rank"))
-            out = out.join(lookup_side(ranks), F.col(c) == F.col("_v")).drop("_v")
+            out = out.join(ranks, F.col(c) == F.col("_v")).drop("_v")
         else:
             kept = out.columns
             numbered = number_rows(out, c, tie)

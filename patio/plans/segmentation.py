@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from patio.columns import ENTITY
 from patio.functions.numeric import round_stable
 from patio.operators import dashboard, rfm, stats, summaries
-from patio.plans.registry import LISTINGS, count_if, query, rfm_cte, rnd
+from patio.plans.registry import count_if, query, rfm_cte, rnd
 from patio.sources.views import listings
 
 KEY = "o_custkey"
