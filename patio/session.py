@@ -13,7 +13,7 @@ SMALL_ROWS = 1_000_000
 
 def build_session(cores: str | int = "*", app: str = "patio") -> SparkSession:
     """Local session for tests and benchmarks; a cluster passes its own session instead."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
@@ -23,6 +23,14 @@ def build_session(cores: str | int = "*", app: str = "patio") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    if shared_folder(spark) is None:  # a cluster names its own
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="patio-"))
+    return spark
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def small_rows(spark: SparkSession) -> int:
@@ -32,11 +40,9 @@ def small_rows(spark: SparkSession) -> int:
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder the cluster names in ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared_folder(spark)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.gettempdir()
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return os.path.join(base, "patio-tables", f"{name}-{uuid.uuid4().hex}")
 
 
