@@ -1,3 +1,26 @@
-"""Queries."""
+"""Queries of the operators that work on bytes: secrets, language, toxicity, tokens."""
 
-QUERIES, ORACLES = {}, {}
+from pyspark.sql import functions as F
+
+from patio.llm.common import table
+from patio.llm.secrets import BASE_RULES, find_secrets
+
+
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op8_secret_scan(spark, sf_dir):
+    found = find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    spans = F.col("secrets")
+    kinds = [r.kind for r in BASE_RULES]
+    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+              for k in kinds]
+    base = _joined(F.filter(spans, lambda s: s["kind"].isin(kinds)))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
+                        _joined(spans).alias("spans"))
+
+
+QUERIES = {"op8_secret_scan": op8_secret_scan}
+ORACLES = {}
