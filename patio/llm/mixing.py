@@ -163,7 +163,8 @@ def plan_mix(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLO
     stop = F.least(F.col("_at") + F.col("size") - F.col("block") * block, F.lit(block))
     part = F.struct((F.col("block") * block + start - F.col("_at")).alias("start"),
                     (F.least(stop, F.col("_take")) - start).alias("words"))
-    joined = placed.join(taken_blocks, ["src", "shard", "block"], "left")
+    # both sides lie by (src, shard) already and both grow with the table: no broadcast
+    joined = placed.join(taken_blocks.hint("merge"), ["src", "shard", "block"], "left")
     mixed = joined.groupBy("src", "shard", "row", "doc_id", "source", "size", "source_size", "target").agg(
         F.coalesce(F.max("_passes"), F.lit(0)).alias("passes"),
         F.array_sort(F.collect_list(F.when(F.least(stop, F.col("_take")) > start, part))).alias("parts"))
