@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,10 +12,6 @@ from patio.llm.common import private
 #: Bytes of text that are worked on at once; a longer single text is worked on alone.
 STEP_BYTES = 1 << 23
 
-#: Spark's own bound on an Arrow batch, set when it is higher.
-BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 1 << 26
-
 #: The six bytes that separate words.
 IS_WHITE = np.zeros(256, bool)
 IS_WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -59,7 +55,7 @@ def code_points(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def add_columns(df: DataFrame, text: str, added: T.StructType, work, keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all by default) and new ones that ``work(body, offsets)`` computes from the
     texts, as one Arrow array per new column. Columns of the same names are replaced. Rows stay in
-    their tasks: nothing is shuffled."""
+    their tasks: nothing is shuffled. Spark bounds the bytes of a batch by itself."""
     names = {f.name.lower() for f in added.fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
     body = private(df, "_text")
@@ -70,12 +66,5 @@ def add_columns(df: DataFrame, text: str, added: T.StructType, work, keep: list[
             carried = [part.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*carried, *work(data, offsets)], names=schema.names)
 
-    bound_batches(df.sparkSession)
     wide = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(body))
     return wide.mapInArrow(run, schema)
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Bounds the bytes that a batch of long texts sends to a Python worker at once."""
-    if int(spark.conf.get(BATCH_BYTES_KEY, str(1 << 62))) > BATCH_BYTES:
-        spark.conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))
