@@ -15,8 +15,11 @@ def op8_secret_scan(spark, sf_dir):
     found = find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
     spans = F.col("secrets")
     kinds = [r.kind for r in BASE_RULES]
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in kinds]
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in kinds]
     base = _joined(F.filter(spans, lambda s: s["kind"].isin(kinds)))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
                         _joined(spans).alias("spans"))
