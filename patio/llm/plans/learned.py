@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from patio.llm.common import table
+from patio.llm.language import predict_language, train_language
 from patio.llm.secrets import BASE_RULES, find_secrets
+from patio.llm.toxicity import score_toxicity
 
 
 def _joined(spans):
@@ -25,5 +27,25 @@ def op8_secret_scan(spark, sf_dir):
                         _joined(spans).alias("spans"))
 
 
-QUERIES = {"op8_secret_scan": op8_secret_scan}
+def _fold(n):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = _fold(3) == 1
+    model = train_language(docs.filter(~held))
+    scored = predict_language(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = _fold(5) == 0
+    labels = table(spark, sf_dir, "labels").filter(~held).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    scored = score_toxicity(docs, docs.join(labels, "doc_id"), keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op3_language_id": op3_language_id, "op7_toxicity": op7_toxicity, "op8_secret_scan": op8_secret_scan}
 ORACLES = {}
