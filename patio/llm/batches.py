@@ -52,19 +52,22 @@ def code_points(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return starts[offsets]
 
 
-def add_columns(df: DataFrame, text: str, added: T.StructType, work, keep: list[str] | None = None) -> DataFrame:
+def add_columns(df: DataFrame, text: str, added: T.StructType, work, keep: list[str] | None = None,
+                per_task: bool = False) -> DataFrame:
     """The kept columns (all by default) and new ones that ``work(body, offsets)`` computes from the
     texts, as one Arrow array per new column. Columns of the same names are replaced. Rows stay in
-    their tasks: nothing is shuffled. Spark bounds the bytes of a batch by itself."""
+    their tasks: nothing is shuffled. Spark bounds the bytes of a batch by itself. With ``per_task``, ``work()`` is called once in every task and gives
+    the function."""
     names = {f.name.lower() for f in added.fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
     body = private(df, "_text")
     schema = T.StructType([df.schema[c] for c in kept] + added.fields)
 
     def run(batches):
+        compute = work() if per_task else work
         for part, data, offsets in steps(batches, body):
             carried = [part.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*carried, *work(data, offsets)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*carried, *compute(data, offsets)], names=schema.names)
 
     wide = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias(body))
     return wide.mapInArrow(run, schema)

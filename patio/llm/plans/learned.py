@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 from patio.llm.common import table
 from patio.llm.language import predict_language, train_language
 from patio.llm.secrets import BASE_RULES, find_secrets
+from patio.llm.sentences import PieceModel, decode_ids, encode_texts
 from patio.llm.toxicity import score_toxicity
 
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -27,6 +30,15 @@ def op8_secret_scan(spark, sf_dir):
                         _joined(spans).alias("spans"))
 
 
+def op1_sentencepiece(spark, sf_dir, model=MODEL):
+    """Ids of every whole text, and whether decoding them gives the text back."""
+    pieces = PieceModel.read(model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = decode_ids(encode_texts(docs, pieces), pieces)
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                          (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def _fold(n):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
@@ -47,5 +59,6 @@ def op7_toxicity(spark, sf_dir):
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op3_language_id": op3_language_id, "op7_toxicity": op7_toxicity, "op8_secret_scan": op8_secret_scan}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece,
+           "op3_language_id": op3_language_id, "op7_toxicity": op7_toxicity, "op8_secret_scan": op8_secret_scan}
 ORACLES = {}
