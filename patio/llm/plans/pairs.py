@@ -1,3 +1,12 @@
-"""Queries."""
+"""Near-duplicate vectors and texts."""
 
-QUERIES, ORACLES = {}, {}
+from patio.llm.common import table
+from patio.llm.vectors import near_vectors
+
+
+def op10_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
+QUERIES = {"op10_embedding_near_dedup": op10_embedding_near_dedup}
+ORACLES = {}
