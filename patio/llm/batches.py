@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from patio.llm.common import private
 
 #: Bytes of text that are worked on at once; a longer single text is worked on alone.
-STEP_BYTES = 1 << 23
+STEP_BYTES = 1 << 21
 
 #: The six bytes that separate words.
 IS_WHITE = np.zeros(256, bool)
