@@ -1,12 +1,18 @@
 """Near-duplicate vectors and texts."""
 
 from patio.llm.common import table
+from patio.llm.texts import near_texts
 from patio.llm.vectors import near_vectors
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    return near_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
 def op10_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
 
 
-QUERIES = {"op10_embedding_near_dedup": op10_embedding_near_dedup}
+QUERIES = {"op9_ngram_jaccard": op9_ngram_jaccard,
+           "op10_embedding_near_dedup": op10_embedding_near_dedup}
 ORACLES = {}
