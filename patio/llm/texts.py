@@ -40,7 +40,7 @@ HOT = 64
 HOT_BITS = 24
 GROUP_SIGNS = 1 << 21
 CHUNK = 512
-NEAREST_ROUNDS = 3
+NEAREST_ROUNDS = 1
 
 _FEATURES = T.StructType([T.StructField("n", T.LongType()), T.StructField("a", T.LongType()),
                           T.StructField("b", T.LongType()), T.StructField("sketch", T.BinaryType())])
@@ -225,28 +225,26 @@ def _propose(members: DataFrame, labels: DataFrame | None, every: bool, first: b
     if labels is not None:
         named = labels.select(F.col("node").alias("_n"), "component")
         members = members.join(named, F.col("node") == F.col("_n"), "left").drop("_n")
-        members = members.withColumn("label", F.coalesce("component", "node"))
+        members = durable(members.withColumn("label", F.coalesce("component", "node")).drop("component"))
     else:
         members = members.withColumn("label", F.col("node"))
-    members = durable(members.select("head", "node", "label"))
     labelled = members.groupBy("head", "label").agg(F.count(F.lit(1)).alias("size"))
     largest = labelled.groupBy("head").agg(
         F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("total"),
         F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select(
         F.col("head").alias("_head"), "top", F.col("total"))
-    largest = durable(largest)
     asking = F.lit(True) if first else (F.col("label") != F.col("top.label"))
     n_asks = F.col("total") if first else (F.col("total") - F.col("top.size"))
     chunks = lambda count: F.ceil(count / CHUNK).cast("int")
     sided = members.join(largest, F.col("head") == F.col("_head")).select(
-        "head", "node", "label", asking.alias("can_ask"), chunks(n_asks).alias("ask_chunks"),
+        "head", "node", "is_head", "label", asking.alias("can_ask"), chunks(n_asks).alias("ask_chunks"),
         chunks(F.col("total")).alias("all_chunks"))
     mine = F.xxhash64("node", F.lit(7))
     asks = sided.filter("can_ask").select(
-        "head", "node", "label", F.lit(True).alias("asks"), F.pmod(mine, F.col("ask_chunks")).alias("i"),
+        "head", "node", "is_head", "label", F.lit(True).alias("asks"), F.pmod(mine, F.col("ask_chunks")).alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_chunks").cast("long") - 1)).alias("j"))
     answers = sided.select(
-        "head", "node", "label", F.lit(False).alias("asks"),
+        "head", "node", "is_head", "label", F.lit(False).alias("asks"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("ask_chunks").cast("long") - 1)).alias("i"),
         F.pmod(mine, F.col("all_chunks")).alias("j"))
     return asks.unionByName(answers.select(asks.columns))
@@ -258,50 +256,46 @@ def near_components(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame,
     plain = docs.select(F.col(ident).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     features = durable(shingle_features(plain, "text", ["id"]))
     known = features.filter("n > 0 and id is not null")
-    nodes = durable(known.groupBy("a", "b").agg(F.min("id").alias("node"), F.min("n").alias("n")))
+    nodes = durable(known.groupBy("a", "b").agg(F.min(F.struct(
+        F.col("id").alias("node"), "n", "sketch")).alias("r")).select("a", "b", "r.*"))
     shingles = features.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     heads = candidate_heads(plain.select("text"), shingles)
 
-    by_key = nodes.select(F.col("a").alias("_a"), F.col("node").alias("_node"))
-    pairs = heads.join(by_key, F.col("x") == F.col("_a")).select(F.col("_node").alias("node"), "head")
-    pairs = durable(pairs.join(by_key, F.col("head") == F.col("_a")).select(
-        "node", F.col("_node").alias("head")).filter("node != head").distinct())
-    members = durable(pairs.unionByName(pairs.select(F.col("head").alias("node"), "head").distinct()))
-    wanted = members.select("node").distinct()
-    sketches = durable(
-        nodes.join(wanted, "node", "left_semi").alias("d").join(
-            known.alias("f"), (F.col("d.node") == F.col("f.id")) & (F.col("d.a") == F.col("f.a"))
-            & (F.col("d.b") == F.col("f.b"))).select("d.node", "d.n", "f.sketch").dropDuplicates(["node"]))
-
-    verified, sets, labels, tried = None, None, None, None
+    # (group, set) rows; a group is named by its head's key, a set by its smallest id
+    keyed = heads.select("head", F.col("x").alias("key")).unionByName(
+        heads.select("head", F.col("head").alias("key")).distinct())
+    members = durable(
+        keyed.join(nodes.select(F.col("a").alias("_a"), "node"), F.col("key") == F.col("_a"))
+        .select("head", "node", (F.col("key") == F.col("head")).alias("is_head")))
+    sketches = nodes.select("node", "n", "sketch")
+
+    verified, sets, labels = None, None, None
     for round_no in range(NEAREST_ROUNDS + 1):
         every = round_no == NEAREST_ROUNDS
         dealt = _propose(members, labels, every, round_no == 0)
-        filled = dealt.join(sketches, "node").withColumn("is_head", F.col("node") == F.col("head"))
+        filled = dealt.join(sketches, "node")
         found = filled.groupBy("head", "i", "j").applyInArrow(_nearest(every), _PROPOSAL)
         if not every:
             kind = (F.col("distance") < 0).alias("to_head")
             found = found.groupBy("x", kind).agg(F.min_by("y", F.struct("distance", "y")).alias("y"))
         fresh = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        if tried is not None:
-            fresh = fresh.join(tried, ["x", "y"], "left_anti")
         fresh = durable(fresh)
         if fresh.isEmpty():
-            if every:
-                break
-            continue
+            break
         if sets is None:
             # every set with a possible partner proposes in the first round, so these are all sets
             # that are ever verified
             sets = durable(_sets(plain, fresh.select(F.explode(F.array("x", "y")).alias("node")).distinct()))
         links = durable(_verified(fresh, sets))
-        tried = fresh if tried is None else durable(tried.unionByName(fresh))
-        verified = links if verified is None else durable(verified.unionByName(links))
-        labels = components(verified.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    if labels is None:
+        verified = links if verified is None else verified.unionByName(links)
+        if not every:
+            # labels that are not final yet only mean a few more proposals
+            labels = components(verified.select(F.col("x").alias("a"), F.col("y").alias("b")), rounds=1)
+    if verified is None:
         named = nodes.withColumn("component", F.col("node"))
     else:
-        named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        final = components(verified.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        named = nodes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return features.drop("sketch"), durable(named.select("a", "b", "node", "component"))
 
 
