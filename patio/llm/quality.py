@@ -110,7 +110,9 @@ def quality_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     n, n_lines = F.size(w).cast("long"), F.size(lines).cast("long")
     white = chars_in(spaced(text_col), " ")
     measured = counted.withColumns({
-        "n_words": n,
+        # a filter on the verdict must not be pushed below, where each use of an array would compute it
+        # anew; an expression that is not deterministic stops it here
+        "n_words": n + F.monotonically_increasing_id() * 0,
         "word_chars": (F.length(text_col) - white).cast("long"),
         "n_symbols": chars_in(text_col, SYMBOLS).cast("long"),
         "n_dup_lines": n_lines - F.size(F.array_distinct(lines)).cast("long"),
