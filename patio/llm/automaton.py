@@ -297,13 +297,14 @@ def ends_of(machine: Automaton, symbols: np.ndarray, places: np.ndarray,
     return np.concatenate(where), np.concatenate(what)
 
 
-def longest_from(machine: Automaton, bit: int, symbols: list, start: int) -> int:
-    """End of the longest match, of the rules in ``bit``, that begins at ``start``; -1 without one."""
+def longest_from(machine: Automaton, symbols: list, start: int, stop: int | None = None) -> int:
+    """End of the longest match that begins at ``start`` and ends by ``stop``; -1 without one."""
     state, end = 0, -1
-    for i in range(start, len(symbols)):
-        state = machine.table[state * machine.n_classes + symbols[i]]
-        if state == machine.dead:
+    table, accepts, dead, width = machine.table, machine.accepts, machine.dead, machine.n_classes
+    for i in range(start, len(symbols) if stop is None else stop):
+        state = table[state * width + symbols[i]]
+        if state == dead:
             break
-        if machine.accepts[state] & bit:
+        if accepts[state]:
             end = i + 1
     return end

@@ -2,7 +2,7 @@
 
 The rules' search forms are compiled together (``automaton``); one pass over every text marks where
 some rule ends. Spans come from the marked pieces alone: from each place in turn the automaton of the
-loose forms takes the longest match, leftmost first, without overlap inside a kind, and a match
+rule's loose form takes the longest match, leftmost first, without overlap inside a kind, and a match
 counts if the strict form ends at the same place. Matches that fail still use up their text, as in a
 search with a pattern followed by a filter.
 
@@ -68,8 +68,9 @@ class Scanner:
         # a place that no match of any rule crosses; each rule by itself stays small
         self.resets = np.logical_and.reduce([
             compile_rules([r.loose or r.strict], anywhere=True).resets() for r in rules])
-        self.loose = compile_rules([r.loose or r.strict for r in rules], anywhere=False)
-        self.strict = compile_rules([r.strict for r in rules], anywhere=False)
+        # spans are delimited rule by rule, so that a place where another rule goes on is left at once
+        self.loose = [compile_rules([r.loose or r.strict], anywhere=False) for r in rules]
+        self.strict = [compile_rules([r.strict], anywhere=False) for r in rules]
 
     def spans(self, body: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, start byte, kind, end byte) of all spans, in order, in bytes of ``body``."""
@@ -78,19 +79,19 @@ class Scanner:
         piece = np.searchsorted(places, where, "right") - 1
         out = []
         for rule in range(len(self.kinds)):
-            bit = 1 << rule
+            bit, loose_form, strict_form = 1 << rule, self.loose[rule], self.strict[rule]
             for p in np.unique(piece[(marks & bit) != 0]):
                 first, last = int(places[p]), int(places[p + 1])
                 part = body[first:last]
-                loose = self.loose.classes[part].tolist()
-                strict = self.strict.classes[part].tolist()
+                loose = loose_form.classes[part].tolist()
+                strict = strict_form.classes[part].tolist()
                 at = 0
                 while at < len(loose):
-                    end = longest_from(self.loose, bit, loose, at)
+                    end = longest_from(loose_form, loose, at)
                     if end < 0:
                         at += 1
                         continue
-                    if longest_from(self.strict, bit, strict[:end], at) == end:
+                    if longest_from(strict_form, strict, at, end) == end:
                         out.append((first + at, rule, first + end))
                     at = end
         if not out:

@@ -39,9 +39,10 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
 
-#: Characters of new words that are encoded at once, and words kept by a task.
-STEP_CHARS = 400_000
-KEEP_WORDS = 400_000
+#: Characters of new words that are encoded at once, words kept by a task, ids decoded at once.
+STEP_CHARS = 150_000
+KEEP_WORDS = 150_000
+STEP_IDS = 500_000
 _NONE = np.int64(1) << 40
 
 
@@ -405,10 +406,15 @@ def decode_ids(df: DataFrame, model: PieceModel, ids: str = "ids", into: str = "
             lists = batch.column(len(kept))
             lists = pc.fill_null(lists, []) if lists.null_count else lists
             bounds = np.asarray(lists.offsets).astype(np.int64)
-            values = np.asarray(lists.values.fill_null(-1))[bounds[0]:bounds[-1]].astype(np.int64)
-            texts = decode(values, bounds - bounds[0])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(texts, pa.string())],
-                                             names=schema.names)
+            row = 0
+            while row < batch.num_rows:
+                end = int(np.searchsorted(bounds, bounds[row] + STEP_IDS, "right")) - 1
+                end = min(max(end, row + 1), batch.num_rows)
+                values = lists.values.slice(bounds[row], bounds[end] - bounds[row]).fill_null(-1)
+                texts = decode(np.asarray(values).astype(np.int64), bounds[row:end + 1] - bounds[row])
+                columns = [c.slice(row, end - row) for c in batch.columns[:len(kept)]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
+                row = end
 
     wide = df.select(*[F.col(f"`{c}`") for c in kept], F.col(ids).cast("array<int>").alias("_ids"))
     return wide.mapInArrow(run, schema)

@@ -61,7 +61,8 @@ def test_long_text_without_a_break(docs):
 
 def test_further_kinds(docs):
     text = "x ghp_" + "a1" * 18 + " -----BEGIN RSA PRIVATE KEY----- https://me:pw@host"
-    assert [s.kind for s in find_secrets(docs([(1, text, "a")])).first().secrets] == ["github", "private_key", "url_login"]
+    assert [s.kind for s in find_secrets(docs([(1, text, "a")])).first().secrets] == [
+        "github", "hex", "private_key", "url_login"]
 
 
 def test_secrets_of_odd_rows(odd, docs):
