@@ -16,6 +16,7 @@ SOLD = "Vendido"
 AVAILABLE = "Disponível"
 RESERVED = "Reservado"
 UNKNOWN_STATUS = "Desconhecido"
+UNKNOWN_ENTITY = "Desconhecido"
 UNKNOWN_FUEL = "Não Informado"
 FUELS = ["Gasolina", "Flex", "Diesel", "Elétrico", "Híbrido"]
 STATUSES = [AVAILABLE, SOLD, RESERVED]

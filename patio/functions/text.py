@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Ordered (broken, fixed) pairs for text whose accents were lost.
 ACCENT_REPAIRS = [
     ("Eltrico", "Elétrico"),
+    ("El\xef\xbf\xbd\xef\xbf\xbd\xef\xbf\xbdtrico", "Elétrico"),
     ("Hbrido", "Híbrido"),
     ("No Informado", "Não Informado"),
     ("Econmico", "Econômico"),
@@ -45,15 +46,16 @@ def unify_synonyms(x: Column, synonyms: Mapping[str, str]) -> Column:
 
 
 def brand_of(x: Column) -> Column:
-    """First word of the entity name."""
-    return F.split_part(strip(x), F.lit(" "), F.lit(1))
+    """First word of the entity name; any Unicode white space separates words."""
+    return F.regexp_extract(x, r"(?U)^\s*(\S+)", 1)
 
 
 def repair_text(x: Column, pairs: Sequence[tuple[str, str]] = ACCENT_REPAIRS) -> Column:
-    """Apply literal replacements in order, then drop the replacement character."""
+    """Drop the replacement character, then apply literal replacements in order."""
+    x = F.replace(x, F.lit(REPLACEMENT_CHAR), F.lit(""))
     for broken, fixed in pairs:
         x = F.replace(x, F.lit(broken), F.lit(fixed))
-    return F.replace(x, F.lit(REPLACEMENT_CHAR), F.lit(""))
+    return x
 
 
 def _cp1252_high() -> tuple[str, str]:

@@ -22,7 +22,6 @@ from patio.operators.summaries import rows
 
 NORMS = ["R_norm", "F_norm", "M_norm"]
 CHUNK = 20_000
-SEED_ROWS = 5_000
 MAX_ITERATIONS = 300  # fixed value, like the tolerance below
 TOLERANCE = 1e-4
 
@@ -52,15 +51,40 @@ def nearest(columns: Sequence[str], centers: np.ndarray) -> Column:
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 
-def _spread_seeds(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centres: each next one drawn by squared distance to those chosen before."""
-    chosen = [sample[rng.integers(len(sample))]]
-    for _ in range(k - 1):
-        gap = np.min([((sample - c) ** 2).sum(axis=1) for c in chosen], axis=0)
-        total = gap.sum()
-        weights = gap / total if total > 0 else None
-        chosen.append(sample[rng.choice(len(sample), p=weights)])
-    return np.array(chosen)
+def _draw(points: DataFrame, columns: list[str], runs: dict[int, np.ndarray], seed: int) -> dict[int, np.ndarray]:
+    """One more centre for every run, drawn from all rows by squared distance to the run's centres.
+
+    Every row takes part in a race: an exponential time from a hash of its key and the run, divided by
+    its squared distance; the first one wins. Tasks return their winners, one row per run.
+    """
+    schema = "run int, far boolean, time double, " + ", ".join(f"x{j} double" for j in range(len(columns)))
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, tuple] = {}
+        for batch in batches:
+            x, keys = batch[columns].to_numpy(), batch["_key"].to_numpy().view(np.uint64)
+            for run, centers in runs.items():
+                mixed = (keys ^ np.uint64((seed * 1_000_003 + run) * 64 + len(centers))) * np.uint64(0x9E3779B97F4A7C15)
+                mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                mixed ^= mixed >> np.uint64(32)
+                time = -np.log(((mixed >> np.uint64(11)) + np.uint64(1)) / 2.0 ** 53)
+                far = np.ones(len(x), bool)
+                if len(centers):
+                    gap = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+                    far = gap > 0
+                    time = np.where(far, time / np.where(far, gap, 1.0), time)
+                at = np.lexsort((time, ~far))[0] if len(x) else None
+                if at is not None:
+                    row = (not far[at], time[at], *x[at])
+                    best[run] = min(best.get(run, row), row)
+        yield pd.DataFrame([(run, not r[0], *r[1:]) for run, r in best.items()], columns=[
+            "run", "far", "time", *[f"x{j}" for j in range(len(columns))]])
+
+    values = [f"x{j}" for j in range(len(columns))]
+    won = (
+        points.select(F.xxhash64("_id").alias("_key"), *columns).mapInPandas(part, schema)
+        .groupBy("run").agg(F.min(F.struct((~F.col("far")).alias("near"), "time", *values)).alias("w")))
+    return {r["run"]: np.array([[r["w"][v] for v in values]]) for r in won.collect()}
 
 
 def _cluster_sums(points: DataFrame, columns: list[str], runs: list[np.ndarray]) -> pd.DataFrame:
@@ -92,14 +116,16 @@ def fit_runs(points: DataFrame, key: str, ks: Sequence[int], restarts: int = 10,
              columns: Sequence[str] = NORMS) -> dict[int, Fit]:
     """Lowest-cost fit per k over several starts, all runs advancing in the same passes."""
     columns = list(columns)
-    n = points.count()
-    keep = max(1, n // SEED_ROWS)
-    sample = points.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(keep)) == 0).orderBy(key).select(
-        *columns).limit(4 * SEED_ROWS).toPandas().to_numpy()
-    rng = np.random.default_rng(seed)
-    runs = [_spread_seeds(sample, k, rng) for k in ks for _ in range(restarts)]
+    named = points.select(F.col(key).alias("_id"), *columns)
+    sizes = [k for k in ks for _ in range(restarts)]
+    runs = [np.zeros((0, len(columns))) for _ in sizes]
+    for step in range(max(sizes)):
+        drawn = _draw(named, columns, {i: runs[i] for i, k in enumerate(sizes) if k > step}, seed)
+        for i, centre in drawn.items():
+            runs[i] = np.concatenate([runs[i], centre])
     costs = [math.inf] * len(runs)
-    scale = float(np.mean(sample.var(axis=0))) or 1.0
+    spread = points.agg(*[F.var_pop(c).alias(c) for c in columns]).first()
+    scale = float(np.mean([spread[c] or 0.0 for c in columns])) or 1.0
     active = list(range(len(runs)))
     for _ in range(MAX_ITERATIONS):
         sums = _cluster_sums(points, columns, [runs[i] for i in active])
@@ -136,10 +162,10 @@ def silhouette_euclid(points: DataFrame, key: str, columns: Sequence[str],
                       clusters: Sequence[str], chunk: int = CHUNK) -> DataFrame:
     """Mean silhouette on Euclidean distance, one row per clustering column.
 
-    It needs every point's distance sum to every cluster. The points are cut into hash chunks of
-    about ``chunk`` rows; each chunk in turn goes to all tasks, which add up distance sums for
-    their own points. No pair of points becomes a row, and any number of chunks gives the same
-    answer.
+    It needs every point's distance sum to every cluster, so its work is quadratic by definition. The
+    points are cut into hash chunks of about ``chunk`` rows, and each pair of chunks is a task, which
+    returns sums. No pair of points becomes a row, nothing passes through the driver, and any number of
+    chunks gives the same answer.
     """
     columns, clusters = list(columns), list(clusters)
     base = points.select(F.col(key).cast("string").alias("_k"),
@@ -147,30 +173,26 @@ def silhouette_euclid(points: DataFrame, key: str, columns: Sequence[str],
                          *[F.col(c).cast("int").alias(c) for c in clusters])
     n_chunks = max(1, math.ceil(base.count() / chunk))
     slot = F.pmod(F.xxhash64("_k"), F.lit(n_chunks))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long")))
+    dealt = base.select("*", F.lit(True).alias("_own"), slot.alias("_i"), every.alias("_j")).unionByName(
+        base.select("*", F.lit(False).alias("_own"), every.alias("_i"), slot.alias("_j")))
     schema = "_k string, clustering string, own int, other int, total double"
 
-    def sums_against(part: pd.DataFrame):
-        there = part[columns].to_numpy()
-        members = {c: {v: (part[c] == v).to_numpy(float) for v in sorted(part[c].unique())}
-                   for c in clusters}
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for at in range(0, len(batch), 256):
-                    own = batch.iloc[at:at + 256]
-                    diff = own[columns].to_numpy()[:, None, :] - there[None, :, :]
-                    distance = np.sqrt((diff * diff).sum(axis=2))
-                    for c, groups in members.items():
-                        for v, member in groups.items():
-                            yield pd.DataFrame({
-                                "_k": own["_k"], "clustering": c, "own": own[c], "other": int(v),
-                                "total": distance @ member})
-        return run
-
-    distances = None
-    for i in range(n_chunks):
-        part = base.mapInPandas(sums_against(base.filter(slot == i).toPandas()), schema)
-        distances = part if distances is None else distances.unionByName(part)
+    def sums(block: pd.DataFrame) -> pd.DataFrame:
+        mine, there = block[block["_own"]], block[~block["_own"]]
+        points_there, out = there[columns].to_numpy(), []
+        for at in range(0, len(mine), 256):
+            own = mine.iloc[at:at + 256]
+            diff = own[columns].to_numpy()[:, None, :] - points_there[None, :, :]
+            distance = np.sqrt((diff * diff).sum(axis=2))
+            for c in clusters:
+                for v in sorted(there[c].unique()):
+                    out.append(pd.DataFrame({
+                        "_k": own["_k"], "clustering": c, "own": own[c], "other": int(v),
+                        "total": distance @ (there[c] == v).to_numpy(float)}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["_k", "clustering", "own", "other", "total"])
+
+    distances = dealt.groupBy("_i", "_j").applyInPandas(sums, schema)
     named = base.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("clustering"), F.col(c).alias("other")) for c in clusters])))
     sizes = named.groupBy("clustering", "other").agg(rows().alias("size"))
@@ -186,32 +208,42 @@ def silhouette_euclid(points: DataFrame, key: str, columns: Sequence[str],
     return means.groupBy("clustering").agg(F.avg(value).alias("silhouette"))
 
 
-def kmeans_sweep(df: DataFrame, key: str, ks: Sequence[int] = range(2, 9), restarts: int = 10,
-                 seed: int = 42, columns: Sequence[str] = NORMS) -> DataFrame:
-    """Inertia and silhouette per k; the best k is the first with the largest silhouette."""
-    ks = list(ks)
+def _scored(df: DataFrame, key: str, ks: Sequence[int], restarts: int, seed: int,
+            columns: Sequence[str]) -> list[tuple[Fit, float]]:
+    """The best fit of each k and its silhouette on squared distance, which is linear in the rows."""
     points = df.select(key, *columns).persist()
     try:
         fits = fit_runs(points, key, ks, restarts, seed, columns)
-        labelled = points.withColumns({f"k{k}": nearest(columns, fits[k].centers) for k in ks})
-        width = {r["clustering"]: r["silhouette"] for r in silhouette_euclid(
-            labelled, key, columns, [f"k{k}" for k in ks]).collect()}
+        features = with_features(points, columns)
+        return [(fits[k], silhouette_squared(
+            features.withColumn("prediction", nearest(columns, fits[k].centers)))) for k in ks]
     finally:
         points.unpersist()
-    best = max(ks, key=lambda k: (width[f"k{k}"], -k))
+
+
+def _best(scored: list[tuple[Fit, float]]) -> Fit:
+    return max(scored, key=lambda s: (s[1], -s[0].k))[0]
+
+
+def kmeans_sweep(df: DataFrame, key: str, ks: Sequence[int] = range(2, 9), restarts: int = 10,
+                 seed: int = 42, columns: Sequence[str] = NORMS) -> DataFrame:
+    """Inertia and silhouette (squared distance) per k; the best k is the first with the largest
+    silhouette. It may differ from the best k by Euclidean silhouettes."""
+    scored = _scored(df, key, list(ks), restarts, seed, columns)
+    best = _best(scored).k
     return df.sparkSession.createDataFrame(
-        [(k, fits[k].cost, width[f"k{k}"], k == best) for k in ks],
+        [(fit.k, fit.cost, width, fit.k == best) for fit, width in scored],
         "k int, inercia double, silhouette double, melhor boolean")
 
 
-def kmeans_assign(df: DataFrame, key: str, k: int, restarts: int = 10, seed: int = 42,
+def kmeans_assign(df: DataFrame, key: str, ks: Sequence[int] = range(2, 9), restarts: int = 10, seed: int = 42,
                   columns: Sequence[str] = NORMS) -> tuple[DataFrame, np.ndarray]:
-    """Cluster id per row (``cluster_km``) and the centres of the best fit."""
-    points = df.select(key, *columns).persist()
-    try:
-        centers = fit_runs(points, key, [k], restarts, seed, columns)[k].centers
-    finally:
-        points.unpersist()
+    """Cluster id per row (``cluster_km``) and the centres of the best fit of the best k."""
+    ks = list(ks)
+    if len(ks) > 1:
+        centers = _best(_scored(df, key, ks, restarts, seed, columns)).centers
+    else:
+        centers = fit_runs(df.select(key, *columns), key, ks, restarts, seed, columns)[ks[0]].centers
     return df.withColumn("cluster_km", nearest(columns, centers)), centers
 
 

@@ -1,17 +1,17 @@
 """Whole-table orderings without a single-task sort.
 
-A window with no partition key (or with one hot key) puts all its rows in one task. Here the
-ordering is cut into cells that follow from the values alone:
+A window with no partition key (or with one hot key) puts all its rows in one task. Here the ordering
+is always cut into cells that follow from the values alone:
 
 * quantile split points of the sort column come from a mergeable sketch,
 * a split value gets a cell of its own, and the gaps between split values are the other cells,
-* a split value's cell is cut again by quantile splits of the unique tie-break column.
+* a split value's cell is cut again by quantile splits of the unique tie-break column,
+* cells that still hold more than ``CELL_ROWS`` rows are cut again with their own split points, until
+  none does. A cell's size therefore does not grow with the table, whatever the distribution.
 
-With K splits no cell holds more than about 1/K of the rows, whatever the distribution: gaps hold
-at most one quantile step, and a repeated value is cut by the tie-break. Cells are functions of the
-row, so a lost and recomputed task lands its rows in the same cells. Per-cell totals give offsets,
-and a window inside each cell gives the rest. Below ``patio.smallRows`` rows the plain window is
-used.
+Cells are functions of the row, so a lost and recomputed task lands its rows in the same cells.
+Per-cell totals give offsets, and a window inside each cell gives the rest. There is one form for every
+size of table.
 """
 
 from collections.abc import Sequence
@@ -19,18 +19,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patio.session import small_rows
+from patio.session import durable
 
-MAX_SPLITS = 1024
+PARTS = 64
+CELL_ROWS = 1 << 17
+BLOCK_ROWS = 1 << 14
 
 
-def bucket_of(x: Column, splits: Sequence) -> Column:
-    """0-based cell number of x: even for gaps between split values, odd for a split value."""
-    points = F.array(*[F.lit(s) for s in splits])
-    size = 1
-    while size * 2 <= len(splits):
-        size *= 2
-    steps = []
+def bucket_of(x: Column, points: Column) -> Column:
+    """0-based cell number of x: even for gaps between split values, odd for a split value, -1 for
+    null. ``points`` is a sorted array of fewer than 2 * PARTS split values."""
+    steps, size = [], PARTS
     while size:
         steps.append(F.lit(size))
         size //= 2
@@ -46,85 +45,110 @@ def bucket_of(x: Column, splits: Sequence) -> Column:
     return F.when(x.isNull(), F.lit(-1)).otherwise(F.get(cell, 0))
 
 
-def split_points(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, list]:
-    """Distinct approximate quantile values per column, one scan, at most ``parts`` each."""
-    parts = max(2, min(parts, MAX_SPLITS))
-    probs = [i / parts for i in range(1, parts)]
-    row = df.agg(*[
-        F.percentile_approx(c, probs, parts * 20).alias(f"s{i}") for i, c in enumerate(columns)
-    ]).first()
-    return {c: sorted(set(row[f"s{i}"] or [])) for i, c in enumerate(columns)}
+def _quantiles(column: str) -> Column:
+    """Distinct approximate quantile values, sorted."""
+    probs = [i / PARTS for i in range(1, PARTS)]
+    found = F.percentile_approx(column, probs, PARTS * 20)
+    return F.array_sort(F.array_distinct(F.coalesce(found, F.array())))
+
+
+def _place(by: str, tie: str | None, by_points: Column, tie_points: Column, descending: bool) -> list[Column]:
+    cell = bucket_of(F.col(by), by_points)
+    inner = F.lit(0) if tie is None else F.when(
+        cell % 2 != 0, bucket_of(F.col(tie), tie_points)).otherwise(F.lit(0))
+    return [-cell if descending else cell, inner]
+
+
+def first_cut(df: DataFrame, by: str, tie: str | None = None, descending: bool = False) -> DataFrame:
+    """Adds ``_cell``, an array of ints whose order is the order of the rows (nulls first ascending,
+    last descending)."""
+    columns = [by] if tie is None else [by, tie]
+    row = df.agg(*[_quantiles(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    types = [df.schema[c].dataType for c in columns]
+    points = [F.lit(row[f"s{i}"]).cast(f"array<{t.simpleString()}>") if row[f"s{i}"] else
+              F.array().cast(f"array<{t.simpleString()}>") for i, t in enumerate(types)]
+    return df.withColumn("_cell", F.array(*_place(by, tie, points[0], points[-1], descending)))
+
+
+def recut(celled: DataFrame, large: DataFrame, by: str, tie: str | None = None,
+          descending: bool = False) -> DataFrame:
+    """Cuts the cells in ``large`` again, each by its own quantiles."""
+    named = large.select(F.col("_cell").alias("_large"))
+    splits = durable(
+        celled.join(named, F.col("_cell") == F.col("_large")).groupBy("_large").agg(
+            _quantiles(by).alias("_bs"), _quantiles(tie or by).alias("_ts")))
+    deeper = F.array(*_place(by, tie, F.col("_bs"), F.col("_ts"), descending))
+    return (
+        celled.join(splits, F.col("_cell") == F.col("_large"), "left")
+        .withColumn("_cell", F.when(F.col("_bs").isNull(), F.col("_cell")).otherwise(
+            F.concat("_cell", deeper)))
+        .drop("_large", "_bs", "_ts"))
+
+
+def cut(df: DataFrame, by: str, tie: str, within: Sequence[str] = (), descending: bool = False,
+        aggs: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``_cell``, and the stored totals of every (within, cell): ``_c`` rows, ``_lo`` and
+    ``_hi`` of ``by``, and ``aggs``. No cell holds more than ``CELL_ROWS`` rows, unless they are equal in
+    both columns."""
+    celled, before = first_cut(df, by, tie, descending), None
+    while True:
+        totals = durable(celled.groupBy(*within, "_cell").agg(
+            F.count(F.lit(1)).alias("_c"), F.min(by).alias("_lo"), F.max(by).alias("_hi"), *aggs))
+        large = totals.groupBy("_cell").agg(F.sum("_c").alias("_c")).filter(F.col("_c") > CELL_ROWS)
+        worst = large.agg(F.count(F.lit(1)), F.max("_c")).first()
+        if not worst[0] or worst == before:
+            return celled, totals
+        before = worst
+        celled = recut(celled, large, by, tie, descending)
 
 
 def number_rows(df: DataFrame, by: str, tie: str, within: Sequence[str] = (),
-                descending: bool = False, sums: Sequence[str] = (),
-                n_rows: int | None = None) -> DataFrame:
+                descending: bool = False, sums: Sequence[str] = ()) -> DataFrame:
     """Add exact 1-based ``_pos`` (by, then unique tie), ``_rank`` and ``_ties`` of ``by``, the
     group size ``_n``, and ``_sum_<c>`` running sums, per ``within`` group.
 
-    Nulls of ``by`` come first ascending and last descending.
+    Nulls of ``by`` come first ascending and last descending. A running sum is null until the first
+    value that isn't.
     """
     within = list(within)
-    limit = small_rows(df.sparkSession)
-    n = df.count() if n_rows is None else n_rows
     added = ["_pos", "_rank", "_ties", "_n"] + [f"_sum_{c}" for c in sums]
     value_order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
-
-    if n <= limit:
-        w = Window.partitionBy(*within).orderBy(value_order, tie)
-        peers = Window.partitionBy(*within).orderBy(value_order)
-        out = df.withColumn("_pos", F.row_number().over(w).cast("long"))
-        for c in sums:
-            run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            out = out.withColumn(f"_sum_{c}", F.sum(c).over(run))
-        out = (
-            out.withColumn("_rank", F.rank().over(peers).cast("long"))
-            .withColumn("_ties", F.count(F.lit(1)).over(
-                peers.rangeBetween(Window.currentRow, Window.currentRow)))
-            .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*within)))
-        )
-        return out.select(*df.columns, *added)
-
-    parts = 2 * (n // limit + 1)
-    splits = split_points(df, [by, tie], parts)
-    celled = df.withColumn("_b", bucket_of(F.col(by), splits[by]))
-    celled = celled.withColumn(
-        "_s", F.when(F.col("_b") % 2 != 0, bucket_of(F.col(tie), splits[tie])).otherwise(0))
-    cell = within + ["_b", "_s"]
-
-    totals = celled.groupBy(*cell).agg(
-        F.count(F.lit(1)).alias("_c"), *[F.sum(c).alias(f"_t_{c}") for c in sums])
-    cell_order = F.col("_b").desc() if descending else F.col("_b").asc()
-    before = Window.partitionBy(*within).orderBy(cell_order, F.col("_s"))
-    prior = before.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *cell,
+    celled, totals = cut(df, by, tie, within, descending,
+                         [F.sum(c).alias(f"_t_{c}") for c in sums])
+    cell = within + ["_cell"]
+
+    # a value's rows lie in one cell, or in several that hold nothing else
+    single = F.col("_lo").eqNullSafe(F.col("_hi"))
+    prior = Window.partitionBy(*within).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    peers_of = Window.partitionBy(*within, "_single", "_lo")
+    offsets = totals.withColumn("_single", single).select(
+        *cell, "_single", "_lo", "_c",
         F.coalesce(F.sum("_c").over(prior), F.lit(0)).alias("_off"),
         F.sum("_c").over(Window.partitionBy(*within)).alias("_n"),
-        F.sum("_c").over(Window.partitionBy(*within, "_b")).alias("_bn"),
-        *[F.coalesce(F.sum(f"_t_{c}").over(prior), F.lit(0.0)).alias(f"_off_{c}") for c in sums],
-    ).withColumn("_boff", F.min("_off").over(Window.partitionBy(*within, "_b")))
+        *[F.sum(f"_t_{c}").over(prior).alias(f"_off_{c}") for c in sums],
+    ).withColumns({"_boff": F.min("_off").over(peers_of), "_bn": F.sum("_c").over(peers_of)})
 
     right = offsets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(cell)],
-                           *[c for c in offsets.columns if c not in cell])
+                           *[c for c in offsets.columns if c not in (*cell, "_lo", "_c")])
     match = F.lit(True)
     for i, k in enumerate(cell):
-        plain = k in ("_b", "_s")
-        match = match & (
-            (F.col(k) == F.col(f"_k{i}")) if plain else F.col(k).eqNullSafe(F.col(f"_k{i}")))
+        match = match & ((F.col(k) == F.col(f"_k{i}")) if k == "_cell"
+                         else F.col(k).eqNullSafe(F.col(f"_k{i}")))
     joined = celled.join(right, match)
 
     w = Window.partitionBy(*cell).orderBy(value_order, tie)
     peers = Window.partitionBy(*cell).orderBy(value_order)
-    single = F.col("_b") % 2 != 0
     out = joined.withColumn("_pos", F.col("_off") + F.row_number().over(w))
     for c in sums:
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = out.withColumn(f"_sum_{c}", F.col(f"_off_{c}") + F.sum(c).over(run))
+        here = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        before = F.col(f"_off_{c}")
+        out = out.withColumn(f"_sum_{c}", F.when(before.isNull(), here).otherwise(
+            before + F.when(here.isNull(), F.lit(0)).otherwise(here)))
     out = out.withColumn(
-        "_rank", F.when(single, F.col("_boff") + 1).otherwise(F.col("_off") + F.rank().over(peers))
+        "_rank", F.when(F.col("_single"), F.col("_boff") + 1).otherwise(
+            F.col("_off") + F.rank().over(peers))
     ).withColumn(
-        "_ties", F.when(single, F.col("_bn")).otherwise(F.count(F.lit(1)).over(
+        "_ties", F.when(F.col("_single"), F.col("_bn")).otherwise(F.count(F.lit(1)).over(
             peers.rangeBetween(Window.currentRow, Window.currentRow))))
     return out.select(*df.columns, *added)
 
@@ -146,17 +170,11 @@ def with_neighbours(df: DataFrame, by: str, tie: str, before: int, after: int,
     """Evaluate row-frame windows over the whole (by, tie) order.
 
     ``expressions(window)`` returns a list of aliased columns using frames that reach at most
-    ``before`` rows back and ``after`` rows ahead. Large tables are cut into blocks of consecutive
+    ``before`` rows back and ``after`` rows ahead. The order is cut into blocks of consecutive
     positions; rows near a block edge are copied into the neighbouring block, so every frame is
     complete inside one block.
     """
-    limit = small_rows(df.sparkSession)
-    n = df.count()
-    if n <= limit:
-        w = Window.orderBy(F.col(by).asc_nulls_first(), tie)
-        return df.select(*df.columns, *expressions(w))
-
-    size = max(limit, before, after, 1)
+    size = max(BLOCK_ROWS, before, after, 1)
     pos = F.col("_pos") - 1
     home = F.floor(pos / size)
     offset = pos % size
@@ -166,7 +184,7 @@ def with_neighbours(df: DataFrame, by: str, tie: str, before: int, after: int,
         F.when(offset < after, home - 1),
     ), lambda b: b.isNotNull())
     placed = (
-        number_rows(df, by, tie, n_rows=n)
+        number_rows(df, by, tie)
         .select(*df.columns, "_pos", home.alias("_home"), F.explode(copies).alias("_block"))
     )
     w = Window.partitionBy("_block").orderBy("_pos")

@@ -1,8 +1,8 @@
-"""Exact linear-interpolated quantiles, globally or per group.
+"""Exact linear-interpolated quantiles, globally or per group, in one form for every size.
 
-Up to ``patio.smallRows`` rows the built-in ``percentile`` is used (its value -> count buffer is
-bounded by that number). Beyond it, ranks are located in quantile cells counted with a map-side
-combine, and only rows of the cells that hold a wanted rank are shuffled, as (value, count).
+Ranks are located in quantile cells counted with a map-side combine. Cells that hold a wanted rank and
+too many rows of different values are cut again; only the rows of the cells that are left are shuffled,
+as (value, count).
 """
 
 from collections.abc import Sequence
@@ -10,43 +10,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patio.operators.ordered import MAX_SPLITS, bucket_of, split_points
-from patio.session import lookup_side, scalar_struct, small_rows
+from patio.operators import ordered
+from patio.session import durable, scalar_struct
 
 
 def _located(df: DataFrame, keys: list[str], value: str, probs: Sequence[float],
              names: Sequence[str]) -> DataFrame:
+    """One row per group with a value: keys and one column per probability."""
     x = F.col("_x")
     rows = df.filter(F.col(value).isNotNull()).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(value).cast("double").alias("_x"))
     ks = [f"_k{i}" for i in range(len(keys))]
-    splits = split_points(rows, ["_x"], MAX_SPLITS)["_x"]
-    rows = rows.withColumn("_b", bucket_of(x, splits))
-
-    cells = rows.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    order = Window.partitionBy(*ks).orderBy("_b")
-    cells = cells.select(
-        *ks, "_b", "_c",
-        F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_c").over(Window.partitionBy(*ks)).alias("_n"))
+    celled = ordered.first_cut(rows, "_x")
+    order = Window.partitionBy(*ks).orderBy("_cell")
     ranks = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
     wanted = F.lit(False)
     for h in ranks:
         for r in (F.floor(h), F.ceil(h)):
             wanted = wanted | ((r >= F.col("_off")) & (r < F.col("_off") + F.col("_c")))
-    targets = cells.filter(wanted).select(
-        *[F.col(k).alias(f"t{k}") for k in ks], F.col("_b").alias("t_b"), "_off", "_n")
-    match = F.col("_b") == F.col("t_b")
+    while True:
+        cells = celled.groupBy(*ks, "_cell").agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        targets = durable(cells.select(
+            *ks, "_cell", "_c", "_lo", "_hi",
+            F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)).alias("_off"),
+            F.sum("_c").over(Window.partitionBy(*ks)).alias("_n")).filter(wanted))
+        large = targets.filter((F.col("_c") > ordered.CELL_ROWS) & (F.col("_lo") < F.col("_hi")))
+        large = large.select("_cell").distinct()
+        if large.isEmpty():
+            break
+        celled = ordered.recut(celled, large, "_x")
+
+    side = targets.select(*[F.col(k).alias(f"t{k}") for k in ks], F.col("_cell").alias("t_cell"), "_off", "_n")
+    match = F.col("_cell") == F.col("t_cell")
     for k in ks:
         match = match & F.col(k).eqNullSafe(F.col(f"t{k}"))
-
-    # without keys at most two cells per probability, otherwise counted first
-    targets = lookup_side(targets) if keys else F.broadcast(targets)
-    counted = rows.join(targets, match).groupBy(*ks, "_b", "_off", "_n", "_x").agg(
+    counted = celled.join(side, match).groupBy(*ks, "_cell", "_off", "_n", "_x").agg(
         F.count(F.lit(1)).alias("_c"))
-    inside = Window.partitionBy(*ks, "_b", "_off", "_n").orderBy("_x")
+    inside = Window.partitionBy(*ks, "_cell", "_off", "_n").orderBy("_x")
     spans = counted.withColumn("_end", F.col("_off") + F.sum("_c").over(
         inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
@@ -64,27 +67,20 @@ def _located(df: DataFrame, keys: list[str], value: str, probs: Sequence[float],
 
 
 def quantiles_by(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                 names: Sequence[str], aggs: Sequence[Column] = (),
-                 n_rows: int | None = None) -> DataFrame:
-    """One row per key group: keys, ``aggs``, then one column per probability."""
+                 names: Sequence[str], aggs: Sequence[Column] = ()) -> DataFrame:
+    """One row per key group: keys, ``aggs``, then one column per probability (null for a group whose
+    values are all null)."""
     keys = list(keys)
-    n = df.count() if n_rows is None else n_rows
-    if n <= small_rows(df.sparkSession):
-        return df.groupBy(*keys).agg(*aggs, *[
-            F.percentile(F.col(value).cast("double"), F.lit(float(p))).alias(nm)
-            for p, nm in zip(probs, names)])
     located = _located(df, keys, value, probs, names)
-    if not aggs:
-        return located
-    plain = df.groupBy(*keys).agg(*aggs)
+    plain = df.groupBy(*keys).agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
     if not keys:
         q = scalar_struct(located)
-        return plain.select("*", *[q[nm].alias(nm) for nm in names])
+        return plain.select("*", *[q[nm].alias(nm) for nm in names]).drop("_rows")
     right = located.select(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)], *names)
     match = F.lit(True)
     for i, k in enumerate(keys):
         match = match & F.col(k).eqNullSafe(F.col(f"_q{i}"))
-    return plain.join(right, match, "left").drop(*[f"_q{i}" for i in range(len(keys))])
+    return plain.join(right, match, "left").drop("_rows", *[f"_q{i}" for i in range(len(keys))])
 
 
 def quantile_scalars(df: DataFrame, value: str, probs: Sequence[float]) -> list[Column]:
@@ -107,12 +103,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
 def quantile_row(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                  aggs: Sequence[Column] = ()) -> DataFrame:
     """One row: ``aggs``, then ``<column>_q<i>`` for every column and probability."""
-    n = df.count()
     names = {c: [f"{c}_q{i}" for i in range(len(probs))] for c in columns}
-    if n <= small_rows(df.sparkSession):
-        return df.agg(*aggs, *[
-            F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(nm)
-            for c in columns for p, nm in zip(probs, names[c])])
     parts = {c: scalar_struct(_located(df, [], c, probs, names[c])) for c in columns}
     base = df.agg(*aggs, F.count(F.lit(1)).alias("_n"))
     return base.select(

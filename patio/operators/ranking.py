@@ -9,40 +9,47 @@ from patio.columns import BRAND, DATE, FUEL, ID, PRICE
 from patio.functions.labels import quartile_label
 from patio.functions.numeric import pct_change, round_stable
 from patio.operators.ordered import (ntile_of, number_rows, percent_rank_of, with_neighbours)
-from patio.session import lookup_side
+from patio.session import durable
 
 
-def _top_values(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
-    """Per group: the values with RANK <= k by value descending, their RANK and DENSE_RANK.
+def _tops(df: DataFrame, group: str, value: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """The stored rows with RANK <= k per group by value descending (nulls last), and per (group, value)
+    among them RANK and DENSE_RANK.
 
     ROW_NUMBER limits each group to k rows before its shuffle and so gives the k-th largest value,
-    ties or not; a value has RANK <= k exactly when it is not below that one.
+    ties or not; a value has RANK <= k exactly when it is not below that one. A group with fewer
+    values keeps all rows. Null groups and values are compared like any other.
     """
     by_value = Window.partitionBy(group).orderBy(F.desc_nulls_last(value))
     kth = (
         df.select(group, value).withColumn("_r", F.row_number().over(by_value))
-        .filter(F.col("_r") <= k).groupBy(F.col(group).alias("_g")).agg(F.min(value).alias("_min"))
+        .filter(F.col("_r") <= k).groupBy(F.col(group).alias("_g"))
+        .agg(F.max_by(F.struct(value), "_r")[value].alias("_least"))
     )
-    counts = (
-        df.select(group, value).join(lookup_side(kth), F.col(group) == F.col("_g"))
-        .filter(F.col(value) >= F.col("_min"))
-        .groupBy(F.col(group).alias("_g"), F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    w = Window.partitionBy("_g").orderBy(F.desc("_v"))
+    kept = durable(
+        df.join(kth, F.col(group).eqNullSafe(F.col("_g")))
+        .filter(F.col("_least").isNull() | (F.col(value) >= F.col("_least"))).select(*df.columns))
+    counts = kept.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    # at most k values and null per group
+    w = Window.partitionBy("_g").orderBy(F.desc_nulls_last("_v"))
     above = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return lookup_side(counts.select(
-        "_g", "_v",
-        (F.coalesce(above, F.lit(0)) + 1).alias("rank_preco"),
-        F.row_number().over(w).cast("long").alias("dense_rank_preco")))
+    ranks = counts.select(
+        "_g", "_v", (F.coalesce(above, F.lit(0)) + 1).alias("rank_preco"),
+        F.row_number().over(w).cast("long").alias("dense_rank_preco")).filter(F.col("rank_preco") <= k)
+    return kept, ranks
+
+
+def _with_ranks(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
+    kept, ranks = _tops(df, group, value, k)
+    same = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
+    return kept.join(ranks, same).select(*df.columns, "rank_preco", "dense_rank_preco")
 
 
 def rank_triplet(df: DataFrame, group: str = BRAND, value: str = PRICE, tie: str = ID,
                  k: int = 3) -> DataFrame:
     """RANK, DENSE_RANK and ROW_NUMBER by value descending, rows with RANK <= k (ties kept)."""
-    tops = _top_values(df, group, value, k)
-    kept = df.join(tops, (F.col(group) == F.col("_g")) & (F.col(value) == F.col("_v")))
-    kept = kept.select(*df.columns, "rank_preco", "dense_rank_preco")
+    kept = _with_ranks(df, group, value, k)
     numbered = number_rows(kept, tie, tie, within=[group, value])
     return numbered.select(*kept.columns, (F.col("rank_preco") + F.col("_pos") - 1)
                            .alias("row_num"))
@@ -50,9 +57,7 @@ def rank_triplet(df: DataFrame, group: str = BRAND, value: str = PRICE, tie: str
 
 def top_by_rank(df: DataFrame, group: str = BRAND, value: str = PRICE, k: int = 3) -> DataFrame:
     """Rows with RANK <= k by value descending; ties kept, so a group may give more than k."""
-    tops = _top_values(df, group, value, k)
-    kept = df.join(tops, (F.col(group) == F.col("_g")) & (F.col(value) == F.col("_v")))
-    return kept.select(*df.columns, "rank_preco")
+    return _with_ranks(df, group, value, k).drop("dense_rank_preco")
 
 
 def top_by_row(df: DataFrame, group: str = FUEL, value: str = PRICE, tie: str = ID,

@@ -12,7 +12,7 @@ from patio.functions.numeric import round_stable
 from patio.functions.special import f_sf, normal_ppf, t_two_sided
 from patio.operators.ordered import number_rows
 from patio.operators.quantiles import quantile_row, quantile_scalars, quantiles_by
-from patio.session import durable, lookup_side, scalar_struct, small_rows
+from patio.session import durable, scalar_struct
 
 KERNEL_REACH = 39.0  # exp(-39**2 / 2) is zero in double precision
 
@@ -194,23 +194,20 @@ def average_ranks(df: DataFrame, columns: Sequence[str], tie: str,
                   discrete: Sequence[str] = ()) -> DataFrame:
     """``<column>_rank``: 1-based ranks, ties averaged, over rows complete in all columns.
 
-    ``discrete`` columns have few values: their ranks come from value counts, unless the counts
-    turn out to be too many for one ordering.
+    ``discrete`` columns have few values: their ranks come from the values' counts, which are ordered
+    in cells like rows.
     """
-    limit = small_rows(df.sparkSession)
     out = df.dropna(subset=list(columns))
     for c in columns:
-        counts = None
+        kept = out.columns
         if c in discrete:
             counts = durable(
                 out.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-        if counts is not None and counts.count() <= limit:
-            upto = F.sum("_c").over(
-                Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            ranks = counts.select("_v", (upto - (F.col("_c") - 1) / 2.0).alias(f"{c}_rank"))
+            numbered = number_rows(counts, "_v", "_v", sums=["_c"])
+            ranks = numbered.select(
+                "_v", (F.col("_sum__c") - (F.col("_c") - 1) / 2.0).alias(f"{c}_rank"))
             out = out.join(ranks, F.col(c) == F.col("_v")).drop("_v")
         else:
-            kept = out.columns
             numbered = number_rows(out, c, tie)
             out = numbered.select(
                 *kept, (F.col("_rank") + (F.col("_ties") - 1) / 2.0).alias(f"{c}_rank"))
@@ -306,23 +303,23 @@ def kde_curve(df: DataFrame, value: str = PRICE, points: int = 300, scale: float
               ) -> DataFrame:
     """Gaussian kernel density (Scott bandwidth) on an even grid from minimum to maximum.
 
-    Equal values are counted first (amounts in cents repeat often), and a value only meets the grid
-    points its kernel reaches; the rest would add exactly zero.
+    A value only meets the grid points its kernel reaches; the rest would add exactly zero. Sums of the
+    grid points combine on the map side, so no row is shuffled. Equal values have no density: the curve
+    is null then.
     """
     data = df.select((F.col(value) / scale).alias("x")).filter(F.col("x").isNotNull())
     s = scalar_struct(data.agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").cast("double").alias("n"),
         F.stddev_samp("x").alias("sd")))
-    weighted = data.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("c"))
     h = s["sd"] * F.pow(s["n"], F.lit(-0.2))
     step = (s["hi"] - s["lo"]) / (points - 1)
     reach = h * KERNEL_REACH
-    first = F.greatest(F.floor((F.col("x") - reach - s["lo"]) / step), F.lit(0))
-    last = F.least(F.ceil((F.col("x") + reach - s["lo"]) / step), F.lit(points - 1))
-    near = weighted.select("x", "c", F.explode(F.sequence(first, last)).alias("ponto"))
-    u = (s["lo"] + step * F.col("ponto") - F.col("x")) / h
-    sums = near.groupBy("ponto").agg(F.sum(F.col("c") * F.exp(u * u * -0.5)).alias("k"))
-    density = F.coalesce("k", F.lit(0.0)) / (s["n"] * h * math.sqrt(2 * math.pi))
+    first = F.greatest(F.floor(F.try_divide(F.col("x") - reach - s["lo"], step)), F.lit(0))
+    last = F.least(F.ceil(F.try_divide(F.col("x") + reach - s["lo"], step)), F.lit(points - 1))
+    near = data.filter(step > 0).select("x", F.explode(F.sequence(first, last)).alias("ponto"))
+    u = F.try_divide(s["lo"] + step * F.col("ponto") - F.col("x"), h)
+    sums = near.groupBy("ponto").agg(F.sum(F.exp(u * u * -0.5)).alias("k"))
+    density = F.try_divide(F.coalesce("k", F.lit(0.0)), s["n"] * h * math.sqrt(2 * math.pi))
     return (
         df.sparkSession.range(points).withColumnRenamed("id", "ponto").join(sums, "ponto", "left")
         .select("ponto", round_stable(s["lo"] + step * F.col("ponto"), 6).alias("x"),
@@ -330,6 +327,15 @@ def kde_curve(df: DataFrame, value: str = PRICE, points: int = 300, scale: float
     )
 
 
+def boxplot_fliers(df: DataFrame, group: str, value: str, keep: Sequence[str]) -> DataFrame:
+    """The rows beyond the whiskers of their group's box."""
+    boxes = quantiles_by(df, [group], value, [0.25, 0.75], ["q1", "q3"]).select(
+        F.col(group).alias("_g"), "q1", "q3")
+    x, reach = F.col(value), (F.col("q3") - F.col("q1")) * 1.5
+    joined = df.join(boxes, F.col(group).eqNullSafe(F.col("_g")))
+    return joined.filter((x < F.col("q1") - reach) | (x > F.col("q3") + reach)).select(*keep)
+
+
 def boxplot_stats(df: DataFrame, group: str, value: str = PRICE) -> DataFrame:
     """Quartiles, whisker ends (furthest data within 1.5 IQR) and outside counts per group."""
     boxes = quantiles_by(df, [group], value, [0.25, 0.5, 0.75], ["q1", "mediana", "q3"]).select(
@@ -337,7 +343,7 @@ def boxplot_stats(df: DataFrame, group: str, value: str = PRICE) -> DataFrame:
     x = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
-    joined = df.select(group, value).join(lookup_side(boxes), F.col(group).eqNullSafe(F.col("_g")))
+    joined = df.select(group, value).join(boxes, F.col(group).eqNullSafe(F.col("_g")))
     return joined.groupBy(group).agg(
         round_stable(F.max("q1"), 4).alias("q1"), round_stable(F.max("mediana"), 4).alias("mediana"),
         round_stable(F.max("q3"), 4).alias("q3"),

@@ -174,12 +174,29 @@ _PAIRS = [("an", "ân"), ("ânt", "ant"), ("er", "êr")]
 
 
 @query("repair_text", """SELECT doc_id, md5(replace(replace(replace(replace(
-  text, 'an', 'ân'), 'ânt', 'ant'), 'er', 'êr'), chr(65533), '')) AS texto FROM documents""")
+  text, chr(65533), ''), 'an', 'ân'), 'ânt', 'ant'), 'er', 'êr')) AS texto FROM documents""")
 def _(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id", F.md5(text.repair_text(F.col("text"), _PAIRS).cast("binary")).alias("texto"))
 
 
+def _broken(labels):
+    """Labels as they come after their accents were lost: dropped, replaced, or decoded three times."""
+    lost = F.regexp_replace(labels, r"[^\x00-\x7F]", "")
+    marked = F.regexp_replace(labels, r"[^\x00-\x7F]", text.REPLACEMENT_CHAR)
+    thrice = F.replace(labels, F.lit("é"), F.lit("ï¿½" * 3))
+    return {"perdido": lost, "marcado": marked, "triplo": F.when(labels == "Elétrico", thrice).otherwise(lost)}
+
+
+@query("repair_text_default", f"""WITH {LISTINGS}, b AS (
+  SELECT id, combustivel AS c, regexp_replace(combustivel, '[^\x00-\x7F]', '', 'g') AS lost FROM listings),
+f AS (SELECT id, CASE WHEN c = 'Elétrico' THEN 'Elétrico' WHEN c = 'Híbrido' THEN 'Híbrido' ELSE lost END AS fixo FROM b)
+SELECT id, fixo AS perdido, fixo AS marcado, fixo AS triplo FROM f""")
+def _(spark, sf):
+    rows = listings(spark, sf, entity=False)
+    return rows.select(ID, *[text.repair_text(x).alias(n) for n, x in _broken(F.col(FUEL)).items()])
+
+
 @query("decode_text", "SELECT doc_id, md5(text) AS utf8, md5(text) AS ocidental FROM documents")
 def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -58,6 +58,7 @@ def _(spark, sf):
 
 @query("dashboard_bundle")
 def _(spark, sf):
-    parts = tables.dashboard_bundle(with_brand(listings(spark, sf)), customers(spark, sf))
+    path = scratch_folder(spark, "painel")
+    names = tables.write_dashboard_bundle(with_brand(listings(spark, sf)), customers(spark, sf), path)
     return reduce(lambda a, b: a.unionByName(b), [
-        part.select(F.lit(name).alias("secao"), "value") for name, part in parts.items()])
+        spark.read.text(f"{path}/{name}").select(F.lit(name).alias("secao"), "value") for name in names])

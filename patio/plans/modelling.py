@@ -12,11 +12,8 @@ from patio.plans.segmentation import entities
 from patio.session import durable
 from patio.sources.views import listings
 
-K = 6
-
-
 def _clustered(spark, sf):
-    return clustering.kmeans_assign(entities(spark, sf), ENTITY, K)
+    return clustering.kmeans_assign(entities(spark, sf), ENTITY)
 
 
 def _labelled(spark, sf):

@@ -104,6 +104,19 @@ def _(spark, sf):
     return ranking.running_totals(listings(spark, sf).select(*_BASE))
 
 
+@query("running_totals_skewed", f"""WITH {LISTINGS}, skewed AS (
+  SELECT id, preco_brl, CASE WHEN id % 3 = 0 THEN DATE '1998-01-01' ELSE data_anuncio END AS data_anuncio FROM listings)
+SELECT id, data_anuncio, preco_brl,
+  {rnd('sum(preco_brl) OVER (ORDER BY data_anuncio, id ROWS UNBOUNDED PRECEDING)')} AS receita_acumulada,
+  count(*) OVER (ORDER BY data_anuncio, id ROWS UNBOUNDED PRECEDING) AS anuncios_acumulados
+FROM skewed""")
+def _(spark, sf):
+    """The same over a copy in which a third of the rows share one date."""
+    one_day = F.when(F.col(ID) % 3 == 0, F.lit("1998-01-01").cast("date")).otherwise(F.col(DATE))
+    return ranking.running_totals(
+        listings(spark, sf, entity=False).select(ID, one_day.alias(DATE), PRICE))
+
+
 @query("running_totals_report", _RT + " ORDER BY data_anuncio, id LIMIT 80")
 def _(spark, sf):
     return ranking.running_totals(ranking.first_rows(listings(spark, sf).select(*_BASE), 80))

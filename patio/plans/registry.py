@@ -53,17 +53,18 @@ _FUEL_CASE = " ".join(
 LISTINGS = f"""
 listings AS (
   SELECT o_orderkey AS id,
-         concat(upper(c_mktsegment[1]), lower(c_mktsegment[2:]), ' ',
-                replace(n_name, 'NATION_', 'N')) AS marca_modelo,
+         CASE WHEN n_name IS NULL THEN 'Desconhecido' ELSE concat(
+           upper(c_mktsegment[1]), lower(c_mktsegment[2:]), ' ', replace(n_name, 'NATION_', 'N')) END AS marca_modelo,
          CAST(year(o_orderdate) - o_custkey % 15 AS INTEGER) AS ano_fabricacao,
          o_totalprice AS preco_brl, CAST(o_orderdate AS DATE) AS data_anuncio,
          CASE o_orderpriority {_FUEL_CASE} END AS combustivel,
          CASE o_orderstatus WHEN 'F' THEN 'Vendido' WHEN 'O' THEN 'Disponível'
               WHEN 'P' THEN 'Reservado' END AS status,
-         concat(upper(c_mktsegment[1]), lower(c_mktsegment[2:])) AS marca,
+         CASE WHEN n_name IS NULL THEN 'Desconhecido' ELSE concat(
+           upper(c_mktsegment[1]), lower(c_mktsegment[2:])) END AS marca,
          strftime(o_orderdate, '%Y-%m') AS ano_mes, strftime(o_orderdate, '%Y') AS ano,
          o_custkey
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+  FROM orders LEFT JOIN (customer JOIN nation ON c_nationkey = n_nationkey) ON o_custkey = c_custkey)
 """
 
 RAW = LISTINGS + """,

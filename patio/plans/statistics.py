@@ -293,6 +293,14 @@ def _(spark, sf):
     return stats.boxplot_stats(_values(spark, sf), "event_type", "value")
 
 
+@query("boxplot_fliers", """WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1,
+  quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
+SELECT event_id, event_type, value FROM events JOIN q USING (event_type)
+WHERE value < q1 - 1.5::DOUBLE * (q3 - q1) OR value > q3 + 1.5::DOUBLE * (q3 - q1)""")
+def _(spark, sf):
+    return stats.boxplot_fliers(_values(spark, sf), "event_type", "value", ["event_id", "event_type", "value"])
+
+
 @query("qq_points")
 def _(spark, sf):
     return stats.qq_points(_values(spark, sf), "value", "event_id")

@@ -1,4 +1,4 @@
-"""Session settings, reliable materialisation and the size check shared by operators."""
+"""Session settings and stored steps shared by operators."""
 
 import os
 import tempfile
@@ -7,10 +7,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_ROWS_KEY = "patio.smallRows"
-SMALL_ROWS = 1_000_000
-
-
 def build_session(cores: str | int = "*", app: str = "patio") -> SparkSession:
     """Local session for tests and benchmarks; a cluster passes its own session instead."""
     spark = (
@@ -33,17 +29,12 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
-def small_rows(spark: SparkSession) -> int:
-    """Row count up to which one task may hold a whole ordering."""
-    return int(spark.conf.get(SMALL_ROWS_KEY, str(SMALL_ROWS)))
-
-
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder the cluster names in ``spark.checkpoint.dir``."""
     base = shared_folder(spark)
     if base is None:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    return os.path.join(base, "patio-tables", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(base, _run_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -56,11 +47,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lookup_side(small: DataFrame) -> DataFrame:
-    """A reduced table about to be joined to rows. Stored first, so that the planner broadcasts it
-    only when its known size is under ``spark.sql.autoBroadcastJoinThreshold``; a larger one is
-    joined by shuffle, with adaptive skew handling."""
-    return durable(small)
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the stored steps under the session's shared folder. Results that still read them fail
+    afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(shared_folder(spark), _run_folder(spark)))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _run_folder(spark: SparkSession) -> str:
+    return os.path.join("patio-tables", spark.sparkContext.applicationId)
 
 
 def scalar_struct(one_row: DataFrame) -> Column:

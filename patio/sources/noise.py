@@ -53,8 +53,9 @@ def _noisy_status() -> Column:
 
 
 def append_sample(df: DataFrame, modulus: int = 97, keep: int = 3) -> DataFrame:
-    """UNION ALL of the table with an id-determined slice of itself."""
-    return df.unionByName(df.filter(F.col(ID) % modulus < keep))
+    """The table with an id-determined slice of itself once more, in one pass."""
+    copies = F.when(F.col(ID) % modulus < keep, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", F.explode(copies).alias("_copy")).drop("_copy")
 
 
 def inject_noise(clean: DataFrame) -> DataFrame:

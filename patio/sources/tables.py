@@ -76,6 +76,9 @@ def dashboard_bundle(df: DataFrame, segmented: DataFrame) -> dict[str, DataFrame
         for name, part in parts.items()}
 
 
-def write_dashboard_bundle(df: DataFrame, segmented: DataFrame, path: str) -> None:
-    for name, lines in dashboard_bundle(df, segmented).items():
+def write_dashboard_bundle(df: DataFrame, segmented: DataFrame, path: str) -> list[str]:
+    """Writes each part as text under ``path``; returns the parts' names."""
+    parts = dashboard_bundle(df, segmented)
+    for name, lines in parts.items():
         lines.write.mode("overwrite").text(os.path.join(path, name))
+    return list(parts)

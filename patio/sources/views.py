@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patio.columns import (AVAILABLE, DATE, ENTITY, FUEL, FUELS, ID, PRICE, RESERVED, SOLD,
-                           STATUS, YEAR)
+                           STATUS, UNKNOWN_ENTITY, YEAR)
 
 ORDER_STATUS = {"F": SOLD, "O": AVAILABLE, "P": RESERVED}
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -35,8 +35,9 @@ def _lookup(column: str, pairs: dict[str, str]):
 
 
 def listings(spark: SparkSession, sf_dir: str, entity: bool = True) -> DataFrame:
-    """One listing per order. The customer join only supplies the entity name; leave it out with
-    ``entity=False`` when a metric does not use it (every order has its customer)."""
+    """One listing per order. The customer join only supplies the entity name: an order without a
+    customer keeps its place under a default name, so ``entity=False`` leaves the join out without
+    changing the rows."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias(ID),
         F.col("o_custkey"),
@@ -56,8 +57,8 @@ def listings(spark: SparkSession, sf_dir: str, entity: bool = True) -> DataFrame
             " ", F.initcap("c_mktsegment"), F.replace("n_name", F.lit("NATION_"), F.lit("N"))
         ).alias(ENTITY))
     )
-    return orders.join(names, F.col("o_custkey") == F.col("c_custkey")).select(
-        ID, ENTITY, YEAR, PRICE, DATE, FUEL, STATUS, "o_custkey")
+    return orders.join(names, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        ID, F.coalesce(ENTITY, F.lit(UNKNOWN_ENTITY)).alias(ENTITY), YEAR, PRICE, DATE, FUEL, STATUS, "o_custkey")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

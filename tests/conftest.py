@@ -5,7 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from patio.session import SMALL_ROWS_KEY, build_session  # noqa: E402
+from patio.operators import ordered  # noqa: E402
+from patio.session import build_session  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,11 +20,11 @@ def spark():
 
 
 @pytest.fixture
-def tiny(spark):
-    """Force the distributed forms of the size-checked operators."""
-    spark.conf.set(SMALL_ROWS_KEY, "7")
-    yield 7
-    spark.conf.unset(SMALL_ROWS_KEY)
+def tiny(monkeypatch):
+    """Cells so small that they are cut again and again."""
+    monkeypatch.setattr(ordered, "PARTS", 4)
+    monkeypatch.setattr(ordered, "CELL_ROWS", 7)
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 7)
 
 
 @pytest.fixture(scope="session")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patio.columns import RAW_COLUMNS
-from patio.operators import cleaning
+from patio.operators import cleaning, ordered
 from patio.sources import tables
 from patio.sources.noise import inject_noise
 from patio.sources.views import listings
@@ -53,15 +53,12 @@ def test_profile_counts_copies(spark):
     assert out["id"].linhas == 4 and out["id"].duplicatas == 2
 
 
-def test_clean_same_result_for_any_size_path(spark, sf):
+def test_clean_same_result_for_any_cells(spark, sf, monkeypatch):
     noisy = inject_noise(listings(spark, sf).select(*RAW_COLUMNS))
     small = sorted(cleaning.clean_listings(noisy, 2026).collect())
-    spark.conf.set("patio.smallRows", "50")
-    try:
-        large = sorted(cleaning.clean_listings(noisy.repartition(7), 2026).collect())
-    finally:
-        spark.conf.unset("patio.smallRows")
-    assert small == large
+    monkeypatch.setattr(ordered, "PARTS", 8)
+    monkeypatch.setattr(ordered, "CELL_ROWS", 20)
+    assert small == sorted(cleaning.clean_listings(noisy.repartition(7), 2026).collect())
 
 
 def test_typed_table_rejects_nulls(spark, sf, tmp_path):

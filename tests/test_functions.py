@@ -106,3 +106,15 @@ def test_tail_probabilities(spark):
     assert math.isclose(t, 2 * (1 - NormalDist().cdf(1.1)), rel_tol=1e-6)
     cauchy = one(spark, 2.0, "double", lambda x: special.t_two_sided("x", "1D"))
     assert math.isclose(cauchy, 1 - 2 / math.pi * math.atan(2.0), rel_tol=1e-9)
+
+
+def test_brand_is_split_at_any_white_space(spark):
+    from patio.functions.text import brand_of
+    df = spark.createDataFrame([("Honda\tCivic",), ("Honda\u00a0Fit",), ("  Honda City",), ("Honda",)], "x string")
+    assert {r[0] for r in df.select(brand_of(F.col("x"))).collect()} == {"Honda"}
+
+
+def test_default_repairs(spark):
+    from patio.functions.text import repair_text
+    df = spark.createDataFrame([("El\ufffdtrico",), ("El\xef\xbf\xbd\xef\xbf\xbd\xef\xbf\xbdtrico",), ("Eltrico",)], "x string")
+    assert {r[0] for r in df.select(repair_text(F.col("x"))).collect()} == {"Elétrico"}

@@ -22,7 +22,7 @@ def blobs(spark, n=60):
 
 def test_kmeans_finds_separate_blobs(spark):
     rows, df = blobs(spark)
-    assigned, centers = clustering.kmeans_assign(df, "key", 3, restarts=3, columns=COLUMNS)
+    assigned, centers = clustering.kmeans_assign(df, "key", [3], restarts=3, columns=COLUMNS)
     pairs = {(r.truth, r.cluster_km) for r in assigned.collect()}
     assert len(pairs) == 3 and len(centers) == 3
     sweep = clustering.kmeans_sweep(df, "key", range(2, 5), restarts=3, columns=COLUMNS).collect()
@@ -64,7 +64,7 @@ def test_cluster_labels_use_quartiles(spark):
 
 def test_pca_matches_svd(spark):
     rows, df = blobs(spark)
-    assigned, centers = clustering.kmeans_assign(df, "key", 3, restarts=2, columns=COLUMNS)
+    assigned, centers = clustering.kmeans_assign(df, "key", [3], restarts=2, columns=COLUMNS)
     out = clustering.pca_2d(assigned, "key", centers, COLUMNS).collect()
     x = np.array([r[1:3] for r in rows])
     x = x - x.mean(axis=0)

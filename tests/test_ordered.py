@@ -51,7 +51,7 @@ def test_no_single_partition_over_rows(spark, tiny, shape):
     plan = number_rows(df, "x", "id")._jdf.queryExecution().toString()
     physical = plan.split("== Physical Plan ==")[1]
     windows = [line for line in physical.splitlines() if "Window [row_number" in line]
-    assert windows and all("_b" in line for line in windows)
+    assert windows and all("_cell" in line for line in windows)
 
 
 @pytest.mark.parametrize("shape", ["spread", "hot", "constant"])
@@ -130,3 +130,43 @@ def test_ranking_reports_match_whole_tables(spark, sf):
         whole = {r.id: r for r in QUERIES[name](spark, sf).collect()}
         report = QUERIES[f"{name}_report"](spark, sf).collect()
         assert report and all(whole[r.id] == r for r in report)
+
+
+def test_running_sums_start_null(spark, tiny):
+    rows = [(i, float(i) if i < 10 or i % 9 == 0 else None) for i in range(60)]
+    for shift in (0, 30):  # nulls after and before the first values
+        df = spark.createDataFrame([((i + shift) % 60, v) for i, v in rows], "id long, x double")
+        w = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+        want = df.select("id", F.sum("x").over(w).alias("s")).collect()
+        got = number_rows(df, "id", "id", sums=["x"]).select("id", "_sum_x").collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_groups_without_values_stay(spark, tiny):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None), (None, 2.0)], "g string, x double")
+    got = {r.g: r.m for r in quantiles_by(df, ["g"], "x", [0.5], ["m"]).collect()}
+    assert got == {"a": 2.0, "b": None, None: 2.0}
+    empty = df.filter("g = 'z'")
+    assert [r.valor for r in quantiles(empty, "x", [0.5]).collect()] == [None]
+
+
+def test_top_ranks_with_nulls(spark):
+    df = spark.createDataFrame(
+        [(1, "a", None), (2, "a", 5.0), (3, None, 1.0), (4, None, None)], "id long, g string, x double")
+    w = Window.partitionBy("g").orderBy(F.desc_nulls_last("x"))
+    want = df.withColumn("r", F.rank().over(w)).filter("r <= 3").select("id", "r").collect()
+    got = ranking.top_by_rank(df, "g", "x").select("id", "rank_preco").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    numbered = ranking.rank_triplet(df, "g", "x", "id").collect()
+    assert {(r.id, r.row_num) for r in numbered} == {(2, 1), (1, 2), (3, 1), (4, 2)}
+
+
+def test_density_of_equal_values(spark):
+    df = spark.createDataFrame([(2.0,)] * 5, "x double")
+    rows = stats.kde_curve(df, "x", points=3).collect()
+    assert len(rows) == 3 and all(r.densidade is None for r in rows)
+
+
+def test_fliers(spark):
+    df = spark.createDataFrame([(i, "g", float(v)) for i, v in enumerate([1, 2, 3, 4, 100])], "id long, g string, x double")
+    assert [r.id for r in stats.boxplot_fliers(df, "g", "x", ["id"]).collect()] == [4]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from patio.operators import dashboard, rfm
+from patio.operators import dashboard, ordered, rfm
 
 # Published result for 32 models
 # (model, recency, frequency, monetary, composite score, segment).
@@ -57,13 +57,10 @@ def segmented(spark):
     return rfm.rfm_standardize(rfm.rfm_segment(scored))
 
 
-@pytest.mark.parametrize("limit", ["1000000", "5"])
-def test_golden(spark, limit):
-    spark.conf.set("patio.smallRows", limit)
-    try:
-        out = {r.marca_modelo: r for r in segmented(spark).collect()}
-    finally:
-        spark.conf.unset("patio.smallRows")
+@pytest.mark.parametrize("rows", [1 << 17, 5])
+def test_golden(spark, rows, monkeypatch):
+    monkeypatch.setattr(ordered, "CELL_ROWS", rows)
+    out = {r.marca_modelo: r for r in segmented(spark).collect()}
     for name, _, _, _, score, segment in GOLDEN:
         assert (out[name].RFM_score, out[name].segmento_rfm) == (score, segment), name
     for name, norms in NORMS.items():
