@@ -195,18 +195,19 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", i
     plan = plan_mix(stored.select(
         F.col(ident).alias("doc_id"), F.col(source).alias("source"), F.col(size).alias("size"),
         F.col(row).alias("row")), **options)
+    of, passes, parts, full = (private(docs, n) for n in ("_of", "_passes", "_parts", "_whole"))
     # each piece is a word with the white space before it
     pieces = F.split(F.col(text), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(
+    cut = F.array_join(F.flatten(F.transform(parts, lambda p: F.slice(
         pieces, (p["start"] + 1).cast("int"), p["words"].cast("int")))), "")
     takes = plan.filter("taken > 0").select(
-        F.col("row").alias("_of"), F.col("passes").alias("_passes"), F.col("parts").alias("_parts"))
-    whole = F.expr("if(_passes > 0, array_repeat(true, cast(_passes as int)), array())")
-    part = F.expr("if(size(_parts) > 0, array(false), array())")
+        F.col("row").alias(of), F.col("passes").alias(passes), F.col("parts").alias(parts))
+    whole = F.expr(f"if({passes} > 0, array_repeat(true, cast({passes} as int)), array())")
+    part = F.expr(f"if(size({parts}) > 0, array(false), array())")
     copies = (
-        stored.join(takes, F.col(row) == F.col("_of"))
-        .withColumn("_whole", F.explode(F.concat(whole, part)))
-        .withColumn(text, F.when(F.col("_whole"), F.col(text)).otherwise(cut)))
+        stored.join(takes, F.col(row) == F.col(of))
+        .withColumn(full, F.explode(F.concat(whole, part)))
+        .withColumn(text, F.when(F.col(full), F.col(text)).otherwise(cut)))
     if length is not None:
         copies = copies.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
     return copies.select(*docs.columns)
