@@ -131,6 +131,29 @@ def test_lines_match_brute_force(docs):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
 
 
+def test_lines_of_small_and_large_hosts(docs):
+    """A host of nine pages loses what all of them hold; a large one what 2 % hold, but no line of two pages."""
+    rows = [(i, f"small {i}\nMIT License\nlast {i}", "tiny") for i in range(9)]
+    rows += [(100 + i, f"{'notice' if i % 50 == 0 else 'own'} {'x' if i % 50 == 0 else i}\ntext {i}\n"
+              + ("twice" if i < 2 else f"end {i}"), "big") for i in range(400)]
+    got = drop_boilerplate(docs(rows), dropped="gone").collect()
+    want = brute_lines(rows, 0.01, 3)
+    assert sorted((r.doc_id, r.text, r.source) for r in got) == sorted(want)
+    assert sum(r.gone for r in got) == 9 + 8
+    assert not any("MIT License" in r.text or "notice" in r.text for r in got)
+    assert sum("twice" in r.text for r in got) == 2
+
+
+def test_lines_that_go_anywhere_in_a_page(docs):
+    """Runs of dropped lines at both ends, next to each other, and with blank lines between."""
+    rows = [(i, f"a\nb\n\n mine {i}\na\n \nown {i}\nb \n\n", "s") for i in range(4)]
+    rows += [(9, "a\nb", "s"), (10, "\n", "s"), (11, None, "s"), (12, "c", "s")]
+    got = drop_boilerplate(docs(rows), dropped="gone", length="n_chars").collect()
+    key = lambda r: (r[0], r[1] or "")
+    assert sorted(((r.doc_id, r.text, r.source) for r in got), key=key) == sorted(brute_lines(rows, 0.01, 3), key=key)
+    assert {r.doc_id: r.gone for r in got} == {0: 4, 1: 4, 2: 4, 3: 4, 9: 2, 10: 0, 11: 0, 12: 0}
+
+
 def test_lines_with_clashing_columns(odd):
     clash = odd.withColumns({"_host": F.lit(1), "_Found": F.lit(2), "lines": F.lit(3)})
     out = drop_boilerplate(clash)
