@@ -59,6 +59,14 @@ def test_prose_stays_and_junk_goes(docs):
     assert [r.doc_id for r in filter_quality(docs(rows)).collect()] == [1]
 
 
+def test_book_length_prose_stays(docs):
+    book = " ".join(f"the man{i} and a house{i} of stone{i}." for i in range(15_000))
+    frame = docs([(1, book, "a"), (2, "the end " * 60_000, "a")])
+    verdicts = {r.doc_id: (r.n_words, r.kept, r.failed) for r in judge_quality(frame).collect()}
+    assert verdicts == {1: (105_000, True, ""), 2: (120_000, False, "repetitive")}
+    assert [r.doc_id for r in filter_quality(frame).collect()] == [1]
+
+
 def test_empty_table(docs):
     assert judge_quality(docs([])).count() == 0
     assert drop_boilerplate(docs([])).count() == 0
