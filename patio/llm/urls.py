@@ -1,15 +1,19 @@
 """URL filtering: explicit host and path rules, and association rules mined from labels.
 
-Spark's FP-growth mines the token combinations of labelled urls. A combination whose urls are mostly
-bad (``confidence``) and often enough seen (``support``, ``min_count``) blocks; combinations that
-contain a shorter one that blocks by itself are pruned. The rules form an inverted index (token ->
-rule); a url matches a rule when it holds all of its tokens. Urls are judged once per distinct url,
-so a url that a third of the pages share costs one row per task.
+Token combinations of labelled urls that at least ``min_count`` bad urls hold (``support`` of all
+labelled urls, if that is more), and whose urls are mostly bad (``confidence``), block; combinations
+that contain a shorter one that blocks by itself are pruned, and nothing else limits their length.
+Single tokens are counted first; a token that blocks, or that too few bad urls hold, is in no longer
+rule, so Spark's FP-growth runs over the bad urls' other tokens only. The combinations found are then
+counted over all distinct token sets. The rules form an inverted index, each under its rarest token; a
+url matches a rule when it holds all of its tokens. Urls are judged once per distinct url, so a url
+that a third of the pages share costs one row per task.
 
 Results for odd rows: a null url, or one without ``://``, has empty host and path, fits no rule and
 is allowed; without labelled urls nothing is mined and the explicit rules decide alone.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -17,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patio.llm.common import private
+from patio.session import durable
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label:bad"
@@ -43,11 +48,12 @@ RULES = [
     UrlRule("allow", "org", "/fr/"),
 ]
 
-#: Mining parameters: share and number of labelled urls, share of bad ones, tokens in a rule.
-SUPPORT = 0.01
-MIN_COUNT = 10
+#: Mining parameters: share and number of bad urls among the labelled ones, share of bad ones.
+SUPPORT = 0.00001
+MIN_COUNT = 5
 CONFIDENCE = 0.6
-MAX_TOKENS = 3
+#: Rows that one step of a repetition makes.
+REPEATS = 4096
 
 
 def host_of(url: Column) -> Column:
@@ -84,36 +90,59 @@ def url_tokens(host: Column, path: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame, support: float = SUPPORT, min_count: int = MIN_COUNT,
-               confidence: float = CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+               confidence: float = CONFIDENCE) -> DataFrame:
     """Blocking combinations of (tokens array, bad boolean) rows: ``rule_id``, ``tokens``."""
     spark = labelled.sparkSession
-    baskets = labelled.select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
-    n = baskets.count()
-    empty = spark.createDataFrame([], "rule_id long, tokens array<string>")
-    if n == 0:
-        return empty
-    model = FPGrowth(itemsCol="items", minSupport=max(support, min_count / n) - 1e-9,
-                     minConfidence=confidence)
-    if model.getMinSupport() > 1:
-        return empty
-    found = (
-        model.fit(baskets).associationRules
-        .filter((F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") <= max_tokens))
-        .select(F.array_sort("antecedent").alias("tokens")).distinct()
-        .withColumn("rule_id", F.xxhash64("tokens")))
-    # a rule that holds a shorter one adds nothing; found by the same inverted index
-    longer = matches(found.withColumnRenamed("rule_id", "key"), found, "key").filter("key != rule_id")
-    return found.join(longer.select(F.col("key").alias("rule_id")).distinct(), "rule_id", "left_anti")
+    sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
+    baskets = durable(
+        labelled.select(F.array_sort(F.array_distinct("tokens")).alias("tokens"), F.lit(1).cast("long").alias("n"),
+                        F.col("bad").cast("long").alias("bad"))
+        .groupBy("tokens").agg(*sums).withColumn("basket", F.monotonically_increasing_id()))
+    n = baskets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = max(min_count, math.ceil(support * n - 1e-6))
+    tokens = baskets.select("basket", "n", "bad", F.explode("tokens").alias("token"))
+    frequent = durable(tokens.groupBy("token").agg(*sums).filter(F.col("bad") >= least).withColumn(
+        "blocks", F.col("bad") / F.col("n") >= confidence))
+    single = frequent.filter("blocks").select(F.array("token").alias("tokens"))
+
+    open_tokens = frequent.filter("not blocks").select("token")
+    rest = durable(
+        tokens.join(open_tokens, "token").groupBy("basket", "n", "bad")
+        .agg(F.array_sort(F.collect_list("token")).alias("tokens")).filter(F.size("tokens") > 1)
+        .groupBy("tokens").agg(*sums).withColumn("basket", F.monotonically_increasing_id()))
+    n_bad = rest.agg(F.coalesce(F.sum("bad"), F.lit(0))).first()[0]
+    if n_bad < least:
+        longer = spark.createDataFrame([], "tokens array<string>")
+    else:
+        # FP-growth takes a row for each bad url
+        step, steps = F.explode(F.expr(f"sequence(0L, (bad - 1) div {REPEATS})")), F.col("step") * REPEATS
+        items = rest.filter("bad > 0").withColumn("step", step).select("tokens", F.explode(
+            F.sequence(F.lit(1).cast("long"), F.least(F.lit(REPEATS), F.col("bad") - steps))).alias("copy"))
+        model = FPGrowth(itemsCol="tokens", minSupport=(least - 0.5) / n_bad).fit(items.select("tokens"))
+        found = durable(
+            model.freqItemsets.filter(F.size("items") > 1)
+            .select(F.array_sort("items").alias("tokens"), F.col("freq").alias("held"))
+            .withColumn("rule_id", F.xxhash64("tokens")))
+        held = matches(rest, found, "basket").join(rest.select("basket", "n"), "basket").groupBy("rule_id").agg(
+            F.sum("n").alias("total"))
+        good = durable(found.join(held, "rule_id").filter(F.col("held") / F.col("total") >= confidence).select(
+            "rule_id", "tokens"))
+        # a rule that holds a shorter one adds nothing; found by the same inverted index
+        more = matches(good.withColumnRenamed("rule_id", "key"), good, "key").filter("key != rule_id")
+        longer = good.join(more.select(F.col("key").alias("rule_id")).distinct(), "rule_id", "left_anti").select("tokens")
+    return durable(single.unionByName(longer).select(F.xxhash64("tokens").alias("rule_id"), "tokens"))
 
 
 def matches(rows: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """(key, rule_id) for each row whose tokens hold all of a rule's, by inverted index."""
-    index = rules.select("rule_id", F.size("tokens").alias("need"), F.explode("tokens").alias("token"))
-    posted = rows.select(key, F.explode("tokens").alias("token"))
-    return (
-        posted.join(index, "token").groupBy(key, "rule_id", "need")
-        .agg(F.count(F.lit(1)).alias("hits")).filter("hits = need").select(key, "rule_id"))
+    """(key, rule_id) for each row whose tokens hold all of a rule's, by inverted index: a rule is
+    listed under the token that the fewest rows hold."""
+    listed = rules.select("rule_id", F.col("tokens").alias("need"), F.explode("tokens").alias("token"))
+    posted = rows.select(key, "tokens", F.explode(F.array_distinct("tokens")).alias("token"))
+    held = posted.join(listed.select("token").distinct(), "token", "left_semi").groupBy("token").count()
+    index = listed.join(held, "token").groupBy("rule_id").agg(
+        F.min("need").alias("need"), F.min(F.struct("count", "token")).alias("rarest")).select(
+        "rule_id", "need", F.col("rarest.token").alias("token"))
+    return posted.join(index, "token").filter(F.size(F.array_except("need", "tokens")) == 0).select(key, "rule_id")
 
 
 def labelled_urls(urls: DataFrame, labels: DataFrame, url: str = "url") -> DataFrame:

@@ -1,7 +1,9 @@
 """Quality rules, URL filters and line dedup: brute force and odd rows."""
 
+import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,43 @@ def test_mined_rules_block(spark):
         1: (None, "block", 1), 2: ("good/", "allow", 0), 3: (None, "allow", 0), 4: (None, "block", 1)}
 
 
+def brute_rules(rows, least, confidence):
+    total, bad = Counter(), Counter()
+    for tokens, label in rows:
+        for k in range(1, len(tokens) + 1):
+            for combo in combinations(sorted(tokens), k):
+                total[combo] += 1
+                bad[combo] += label
+    good = {c for c in total if bad[c] >= least and bad[c] / total[c] >= confidence}
+    return {c for c in good if not any(set(s) < set(c) for s in good)}
+
+
+def test_rare_hosts_and_long_rules(spark):
+    """A bad host with 6 of 2,000 urls blocks; so do four tokens no three of which do."""
+    rows = [(["h:ads", "h:com"], True)] * 6 + [(["h:com", f"h:site{i % 40}"], i % 10 == 0) for i in range(1970)]
+    four = ["p:a", "p:b", "p:c", "p:d"]
+    rows += [(four, True)] * 6 + [([t for t in four if t != out], False) for out in four for _ in range(6)]
+    found = mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    got = [tuple(r.tokens) for r in found.collect()]
+    assert len(got) == len(set(got)) and {("h:ads",), tuple(four)} <= set(got)
+    assert set(got) == brute_rules(rows, 5, 0.6)
+
+
+def test_rules_match_brute_force(spark, monkeypatch):
+    from patio.llm import urls
+    monkeypatch.setattr(urls, "REPEATS", 3)
+    random.seed(19)
+    rows = []
+    for _ in range(60):
+        tokens = random.sample([f"h:{i}" for i in range(4)] + [f"p:{i}" for i in range(5)], random.randint(0, 6))
+        share = random.choice([0.2, 0.5, 0.7])
+        rows += [(random.sample(tokens, len(tokens)), random.random() < share) for _ in range(random.randint(1, 9))]
+    want = brute_rules(rows, 5, 0.6)
+    assert any(len(c) > 3 for c in want)
+    got = [tuple(r.tokens) for r in mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_index_needs_all_tokens(spark):
     rules = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"])], "rule_id long, tokens array<string>")
     rows = spark.createDataFrame([("x", ["a", "c"]), ("y", ["b", "a"]), ("z", [])], "key string, tokens array<string>")
