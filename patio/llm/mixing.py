@@ -4,7 +4,8 @@
    times what the source has; the excess is shared again by weight until no source is above.
 2. The total is a number of blocks of ``block`` words. Blocks go to sources by highest quotients
    target / (2 * seats + 1). Only the few seats that the divisor's bounds leave open are ranked, so
-   the work grows with the number of sources, not of blocks.
+   the work grows with the number of sources, not of blocks. A source whose target is positive but
+   too small for a block gets its target in whole words, one at least.
 3. Sources are cut into shards by a seeded hash; the same apportionment gives each shard an integer
    number of blocks. A source with a third of the rows is spread over many shards.
 4. Inside a shard the documents lie in seeded order and form one row of words, cut into blocks. The
@@ -128,6 +129,8 @@ def plan_mix(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLO
                     ["_all"], "src", "target", "_n").select("src", F.col("won").alias("_seats"))
     sources = durable(
         sources.join(won, "src", "left").fillna(0, ["_seats"])
+        .withColumn("_few", F.when((F.col("_seats") == 0) & (F.col("target") > 0), F.greatest(
+            F.round("target"), F.lit(1))).otherwise(0).cast("long"))
         .withColumn("_shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))))
 
     ticket = _draw(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
@@ -137,10 +140,13 @@ def plan_mix(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLO
         .withColumn("_ticket", ticket)
         .withColumn("shard", _number(F.col("_ticket")) % F.col("_shards")))
     shards = drawn.groupBy("src", "shard").agg(
-        F.sum("size").alias("words"), F.min("_seats").alias("_seats")).filter("words > 0")
+        F.sum("size").alias("words"), F.min("_seats").alias("_seats"),
+        F.min("_few").alias("_few")).filter("words > 0")
     shards = durable(shards)
-    quotas = apportion(shards, ["src"], "shard", "words", "_seats")
-    need = F.least(F.col("won") * block, cap * F.col("words"))
+    # a source has either blocks or a few words
+    quotas = apportion(shards, ["src"], "shard", "words", "_seats").withColumn("won", F.col("won") * block).unionByName(
+        apportion(shards, ["src"], "shard", "words", "_few"))
+    need = F.least(F.col("won"), cap * F.col("words"))
     quotas = shards.select("src", "shard", "words").join(quotas, ["src", "shard"]).withColumn("_need", need)
 
     # blocks of each shard in seeded order: the quota left after whole passes takes the first ones

@@ -105,6 +105,18 @@ def test_documents_of_the_mix(corpus):
     assert taken == {k: v for k, v in want.items() if v}
 
 
+def test_small_sources_and_tables(docs):
+    """Targets of less than a block: 25, 10 and 5 words of a table of 40; 3 words beside 9,000."""
+    small = docs([(1, _words(1, 20), "a"), (2, _words(2, 10), "b"), (3, _words(3, 10), "c")])
+    assert {r.source: r.taken for r in plan_mix(sized_rows(small)).collect()} == {"a": 25, "b": 10, "c": 5}
+    assert sum(len(r.text.split()) for r in mix_documents(small).collect()) == 40
+    large = docs([(i, _words(i, 300), "a") for i in range(30)] + [(98, "x", "b"), (99, "", "c"), (97, "y z", "b")])
+    plan = plan_mix(sized_rows(large), shard_words=1000).collect()
+    taken = lambda s: sum(r.taken for r in plan if r.source == s)
+    assert taken("b") == round(next(r.target for r in plan if r.source == "b")) == 9 and taken("c") == 0
+    assert abs(taken("a") - 8994) <= 128 * 10
+
+
 def test_odd_rows_and_empty_table(odd, docs):
     plan = plan_mix(sized_rows(odd)).collect()
     assert len(plan) == odd.count()
