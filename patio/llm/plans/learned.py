@@ -1,14 +1,17 @@
 """Queries of the operators that work on bytes: secrets, language, toxicity, tokens."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from patio.llm.common import table
 from patio.llm.language import predict_language, train_language
 from patio.llm.secrets import BASE_RULES, find_secrets
 from patio.llm.sentences import PieceModel, decode_ids, encode_texts
+from patio.llm.token_counts import count_tokens
 from patio.llm.toxicity import score_toxicity
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _joined(spans):
@@ -59,6 +62,12 @@ def op7_toxicity(spark, sf_dir):
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op13_token_counts(spark, sf_dir, tokenizer=TOKENIZER):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, tokenizer, keep=["doc_id"])
+
+
 QUERIES = {"op1_sentencepiece": op1_sentencepiece,
-           "op3_language_id": op3_language_id, "op7_toxicity": op7_toxicity, "op8_secret_scan": op8_secret_scan}
+           "op3_language_id": op3_language_id, "op7_toxicity": op7_toxicity, "op8_secret_scan": op8_secret_scan,
+           "op13_token_counts": op13_token_counts}
 ORACLES = {}
