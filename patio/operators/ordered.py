@@ -45,6 +45,17 @@ def bucket_of(x: Column, points: Column) -> Column:
     return F.when(x.isNull(), F.lit(-1)).otherwise(F.get(cell, 0))
 
 
+def _bucket_of_known(x: Column, points: Sequence) -> Column:
+    """``bucket_of`` for split values known to the driver, as a tree of comparisons."""
+    def below(lo: int, hi: int) -> Column:  # lo to hi split values are <= x
+        if lo == hi:
+            return F.when(x == points[lo - 1], 2 * lo - 1).otherwise(2 * lo) if lo else F.lit(0)
+        mid = (lo + hi) // 2
+        return F.when(x < points[mid], below(lo, mid)).otherwise(below(mid + 1, hi))
+
+    return F.when(x.isNull(), F.lit(-1)).otherwise(below(0, len(points)))
+
+
 def _quantiles(column: str) -> Column:
     """Distinct approximate quantile values, sorted."""
     probs = [i / PARTS for i in range(1, PARTS)]
@@ -52,10 +63,10 @@ def _quantiles(column: str) -> Column:
     return F.array_sort(F.array_distinct(F.coalesce(found, F.array())))
 
 
-def _place(by: str, tie: str | None, by_points: Column, tie_points: Column, descending: bool) -> list[Column]:
-    cell = bucket_of(F.col(by), by_points)
+def _place(by: str, tie: str | None, by_points, tie_points, descending: bool, bucket=bucket_of) -> list[Column]:
+    cell = bucket(F.col(by), by_points)
     inner = F.lit(0) if tie is None else F.when(
-        cell % 2 != 0, bucket_of(F.col(tie), tie_points)).otherwise(F.lit(0))
+        cell % 2 != 0, bucket(F.col(tie), tie_points)).otherwise(F.lit(0))
     return [-cell if descending else cell, inner]
 
 
@@ -64,10 +75,20 @@ def first_cut(df: DataFrame, by: str, tie: str | None = None, descending: bool =
     last descending)."""
     columns = [by] if tie is None else [by, tie]
     row = df.agg(*[_quantiles(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    types = [df.schema[c].dataType for c in columns]
-    points = [F.lit(row[f"s{i}"]).cast(f"array<{t.simpleString()}>") if row[f"s{i}"] else
-              F.array().cast(f"array<{t.simpleString()}>") for i, t in enumerate(types)]
-    return df.withColumn("_cell", F.array(*_place(by, tie, points[0], points[-1], descending)))
+    points = [[F.lit(p).cast(df.schema[c].dataType) for p in row[f"s{i}"]] for i, c in enumerate(columns)]
+    return df.withColumn("_cell", F.array(*_place(by, tie, points[0], points[-1], descending, _bucket_of_known)))
+
+
+def stacked_cut(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Values of many columns in long form: ``_v`` (the column's number), ``_x`` (its value, nulls left
+    out) and ``_cell``, cut by each column's own split points; other columns are carried."""
+    row = df.agg(*[_quantiles(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    stacked = F.array(*[
+        F.struct(F.lit(i).alias("_v"), F.col(c).alias("_x"),
+                 F.array(_bucket_of_known(F.col(c), row[i]), F.lit(0)).alias("_cell"))
+        for i, c in enumerate(columns)])
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.explode(stacked).alias("_e")).select(*others, "_e.*").filter("_x IS NOT NULL")
 
 
 def recut(celled: DataFrame, large: DataFrame, by: str, tie: str | None = None,
@@ -86,22 +107,55 @@ def recut(celled: DataFrame, large: DataFrame, by: str, tie: str | None = None,
 
 
 def cut(df: DataFrame, by: str, tie: str, within: Sequence[str] = (), descending: bool = False,
-        aggs: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
-    """The rows with ``_cell``, and the stored totals of every (within, cell): ``_c`` rows, ``_lo`` and
-    ``_hi`` of ``by``, and ``aggs``. No cell holds more than ``CELL_ROWS`` rows, unless they are equal in
-    both columns."""
-    celled, before = first_cut(df, by, tie, descending), None
+        aggs: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame, int]:
+    """The rows with ``_cell``, the stored totals of every (within, cell): ``_c`` rows, ``_lo`` and
+    ``_hi`` of ``by``, and ``aggs``, and the number of cuts, two numbers of ``_cell`` each. No cell holds
+    more than ``CELL_ROWS`` rows, unless they are equal in both columns."""
+    celled, before, cuts = first_cut(df, by, tie, descending), None, 1
     while True:
         totals = durable(celled.groupBy(*within, "_cell").agg(
             F.count(F.lit(1)).alias("_c"), F.min(by).alias("_lo"), F.max(by).alias("_hi"), *aggs))
         large = totals.groupBy("_cell").agg(F.sum("_c").alias("_c")).filter(F.col("_c") > CELL_ROWS)
         worst = large.agg(F.count(F.lit(1)), F.max("_c")).first()
         if not worst[0] or worst == before:
-            return celled, totals
-        before = worst
+            return celled, totals, cuts
+        before, cuts = worst, cuts + 1
         celled = recut(celled, large, by, tie, descending)
 
 
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Null-safe equality of columns by pairs."""
+    match = F.lit(True)
+    for a, b in zip(left, right):
+        match = match & F.col(a).eqNullSafe(F.col(b))
+    return match
+
+
+def _before(totals: DataFrame, within: list[str], cuts: int, sums: dict[str, str]) -> DataFrame:
+    """Adds, under the new names of ``sums``, what lies before each cell.
+
+    Cells are the leaves of a tree, one level per cut. On every level the nodes of one parent are summed
+    up in order, and a cell adds what lies before its nodes from the top down. A window holds the nodes
+    of one parent, whose number doesn't grow with the table.
+    """
+    out = totals
+    for level in range(1, cuts + 1):
+        nodes = totals.groupBy(*within, F.slice("_cell", 1, 2 * level).alias("_node")).agg(
+            *[F.sum(c).alias(c) for c in sums])
+        siblings = Window.partitionBy(*within, F.slice("_node", 1, 2 * level - 2)).orderBy("_node").rowsBetween(
+            Window.unboundedPreceding, -1)
+        prior = nodes.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(within)], "_node",
+                             *[F.sum(c).over(siblings).alias(f"_l{level}{name}") for c, name in sums.items()])
+        match = F.slice("_cell", 1, 2 * level) == F.col("_node")
+        out = out.join(prior, match & _same(within, [f"_w{i}" for i in range(len(within))])).drop(
+            "_node", *[f"_w{i}" for i in range(len(within))])
+    names = list(sums.values())
+    levels = {n: [F.col(f"_l{level}{n}") for level in range(1, cuts + 1)] for n in names}
+    return out.select(*totals.columns, *[
+        F.when(F.coalesce(*own).isNotNull(), sum((F.coalesce(c, F.lit(0)) for c in own[1:]), F.coalesce(own[0], F.lit(0))))
+        .alias(n) for n, own in levels.items()])
+
+
 def number_rows(df: DataFrame, by: str, tie: str, within: Sequence[str] = (),
                 descending: bool = False, sums: Sequence[str] = ()) -> DataFrame:
     """Add exact 1-based ``_pos`` (by, then unique tie), ``_rank`` and ``_ties`` of ``by``, the
@@ -113,31 +167,34 @@ def number_rows(df: DataFrame, by: str, tie: str, within: Sequence[str] = (),
     within = list(within)
     added = ["_pos", "_rank", "_ties", "_n"] + [f"_sum_{c}" for c in sums]
     value_order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
-    celled, totals = cut(df, by, tie, within, descending,
-                         [F.sum(c).alias(f"_t_{c}") for c in sums])
+    celled, totals, cuts = cut(df, by, tie, within, descending,
+                               [F.sum(c).alias(f"_t_{c}") for c in sums])
     cell = within + ["_cell"]
 
+    placed = _before(totals, within, cuts, {"_c": "_off"} | {f"_t_{c}": f"_off_{c}" for c in sums}).withColumn(
+        "_off", F.coalesce("_off", F.lit(0))).withColumn("_single", F.col("_lo").eqNullSafe(F.col("_hi")))
     # a value's rows lie in one cell, or in several that hold nothing else
-    single = F.col("_lo").eqNullSafe(F.col("_hi"))
-    prior = Window.partitionBy(*within).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    peers_of = Window.partitionBy(*within, "_single", "_lo")
-    offsets = totals.withColumn("_single", single).select(
-        *cell, "_single", "_lo", "_c",
-        F.coalesce(F.sum("_c").over(prior), F.lit(0)).alias("_off"),
-        F.sum("_c").over(Window.partitionBy(*within)).alias("_n"),
-        *[F.sum(f"_t_{c}").over(prior).alias(f"_off_{c}") for c in sums],
-    ).withColumns({"_boff": F.min("_off").over(peers_of), "_bn": F.sum("_c").over(peers_of)})
+    group = [f"_g{i}" for i in range(len(within))]
+    keyed = [F.col(k).alias(g) for k, g in zip(within, group)]
+    spread = placed.filter("_single").groupBy(*keyed, F.col("_lo").alias("_value")).agg(
+        F.min("_off").alias("_first"), F.sum("_c").alias("_all"), F.count(F.lit(1)).alias("_cells")).filter("_cells > 1")
+    offsets = placed.join(spread, F.col("_single") & _same([*within, "_lo"], [*group, "_value"]), "left").select(
+        *cell, "_off", "_single", *[f"_off_{c}" for c in sums],
+        F.coalesce("_first", "_off").alias("_boff"), F.coalesce("_all", "_c").alias("_bn"))
+    if within:
+        sizes = totals.groupBy(*keyed).agg(F.sum("_c").alias("_n"))
+        offsets = offsets.join(sizes, _same(within, group)).drop(*group)
+    else:
+        offsets = offsets.withColumn("_n", totals.agg(F.sum("_c")).scalar())
 
     right = offsets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(cell)],
-                           *[c for c in offsets.columns if c not in (*cell, "_lo", "_c")])
-    match = F.lit(True)
-    for i, k in enumerate(cell):
-        match = match & ((F.col(k) == F.col(f"_k{i}")) if k == "_cell"
-                         else F.col(k).eqNullSafe(F.col(f"_k{i}")))
+                           *[c for c in offsets.columns if c not in cell])
+    match = (F.col("_cell") == F.col(f"_k{len(within)}")) & _same(within, [f"_k{i}" for i in range(len(within))])
     joined = celled.join(right, match)
 
-    w = Window.partitionBy(*cell).orderBy(value_order, tie)
-    peers = Window.partitionBy(*cell).orderBy(value_order)
+    # a cell is known by its offset, which sorts faster than the array
+    w = Window.partitionBy(*within, "_off").orderBy(value_order, tie)
+    peers = Window.partitionBy(*within, "_off").orderBy(value_order)
     out = joined.withColumn("_pos", F.col("_off") + F.row_number().over(w))
     for c in sums:
         here = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))

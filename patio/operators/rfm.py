@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patio.columns import BRAND, DATE, ENTITY, ID, PRICE, YEAR
 from patio.functions.numeric import round_stable
 from patio.functions.text import brand_of
-from patio.operators.quantiles import quantile_row, quantiles_by
+from patio.operators.quantiles import quantile_row, quantile_table
 from patio.operators.summaries import rows, share_of_total
 from patio.session import durable, scalar_struct
 
@@ -108,12 +108,9 @@ def rfm_segment_share(segmented: DataFrame) -> DataFrame:
 
 def segment_stats(segmented: DataFrame) -> DataFrame:
     """Size, median metrics and mean score per segment, best score first."""
-    out = segmented.groupBy("segmento_rfm").agg(
-        rows().alias("n"), round_stable(F.avg("RFM_score")).alias("rfm_medio"))
-    for metric, name in (("recency", "recency_med"), ("frequency", "freq_med"),
-                         ("monetary", "preco_med")):
-        medians = quantiles_by(segmented, ["segmento_rfm"], metric, [0.5], [name])
-        out = out.join(medians, "segmento_rfm")
+    medians = {"recency": ["recency_med"], "frequency": ["freq_med"], "monetary": ["preco_med"]}
+    out = quantile_table(segmented, ["segmento_rfm"], medians, [0.5], [
+        rows().alias("n"), round_stable(F.avg("RFM_score")).alias("rfm_medio")])
     return out.select("segmento_rfm", "n", *[
         round_stable(F.col(c)).alias(c) for c in ("recency_med", "freq_med", "preco_med")],
         "rfm_medio").orderBy(F.desc("rfm_medio"))

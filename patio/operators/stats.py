@@ -190,45 +190,37 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _matrix(_pair_correlations(doubles, columns), columns)
 
 
-def average_ranks(df: DataFrame, columns: Sequence[str], tie: str,
-                  discrete: Sequence[str] = ()) -> DataFrame:
-    """``<column>_rank``: 1-based ranks, ties averaged, over rows complete in all columns.
+def average_ranks(df: DataFrame, columns: Sequence[str], tie: str) -> DataFrame:
+    """``tie``, the columns as doubles and ``<column>_rank``: 1-based ranks, ties averaged, over rows
+    complete in all columns.
 
-    ``discrete`` columns have few values: their ranks come from the values' counts, which are ordered
-    in cells like rows.
+    The values of all columns are ordered in one pass in long form, each column by itself, and a row's
+    ranks are brought together by its unique ``tie``.
     """
-    out = df.dropna(subset=list(columns))
-    for c in columns:
-        kept = out.columns
-        if c in discrete:
-            counts = durable(
-                out.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-            numbered = number_rows(counts, "_v", "_v", sums=["_c"])
-            ranks = numbered.select(
-                "_v", (F.col("_sum__c") - (F.col("_c") - 1) / 2.0).alias(f"{c}_rank"))
-            out = out.join(ranks, F.col(c) == F.col("_v")).drop("_v")
-        else:
-            numbered = number_rows(out, c, tie)
-            out = numbered.select(
-                *kept, (F.col("_rank") + (F.col("_ties") - 1) / 2.0).alias(f"{c}_rank"))
-    return out
-
-
-def spearman_matrix(df: DataFrame, columns: Sequence[str], tie: str,
-                    discrete: Sequence[str] = ()) -> DataFrame:
+    full = df.dropna(subset=list(columns))
+    long = full.select(F.col(tie).alias("_id"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_v"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(columns)])))
+    numbered = number_rows(long, "_x", "_id", within=["_v"])
+    rank = F.col("_rank") + (F.col("_ties") - 1) / 2.0
+    of = [F.col("_v") == i for i in range(len(columns))]
+    return numbered.groupBy(F.col("_id").alias(tie)).agg(
+        *[F.max(F.when(own, F.col("_x"))).alias(c) for own, c in zip(of, columns)],
+        *[F.max(F.when(own, rank)).alias(f"{c}_rank") for own, c in zip(of, columns)])
+
+
+def spearman_matrix(df: DataFrame, columns: Sequence[str], tie: str) -> DataFrame:
     """Spearman correlations on rows complete in all columns."""
-    ranked = average_ranks(df, columns, tie, discrete)
+    ranked = average_ranks(df, columns, tie)
     plain = ranked.select(*[F.col(f"{c}_rank").alias(c) for c in columns])
     return _matrix(_pair_correlations(plain, columns), columns)
 
 
-def corr_significance(df: DataFrame, x: str, y: str, tie: str,
-                      discrete: Sequence[str] = ()) -> DataFrame:
+def corr_significance(df: DataFrame, x: str, y: str, tie: str) -> DataFrame:
     """Pearson and Spearman r of two columns with two-sided p-values."""
-    ranked = average_ranks(df.select(tie, x, y), [x, y], tie, discrete)
+    ranked = average_ranks(df.select(tie, x, y), [x, y], tie)
     wide = ranked.agg(
         F.count(F.lit(1)).cast("double").alias("n"),
-        F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("pearson"),
+        F.corr(x, y).alias("pearson"),
         F.corr(f"{x}_rank", f"{y}_rank").alias("spearman"))
     rows = wide.select("n", F.inline(F.array(*[
         F.struct(F.lit(m).alias("metodo"), F.col(m).alias("r0")) for m in ("pearson", "spearman")])))

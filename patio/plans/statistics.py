@@ -190,7 +190,7 @@ ranked AS (SELECT id, {', '.join(
 
 @query("spearman_matrix", f"WITH {_RANKED} {_matrix_sql('ranked')}")
 def _(spark, sf):
-    return stats.spearman_matrix(coded(spark, sf), CODED, ID, discrete=CODED[1:])
+    return stats.spearman_matrix(coded(spark, sf), CODED, ID)
 
 
 @query("corr_significance", f"""WITH {_RANKED},
@@ -204,7 +204,7 @@ w AS (SELECT metodo, sum((CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4
 SELECT metodo, {rnd('r', 6)} AS r, {rnd('1 - 2 * half', 6)} AS p, {STRENGTH_SQL}
 FROM r JOIN w USING (metodo)""")
 def _(spark, sf):
-    return stats.corr_significance(coded(spark, sf), PRICE, YEAR, ID, discrete=[YEAR])
+    return stats.corr_significance(coded(spark, sf), PRICE, YEAR, ID)
 
 
 def _anova_sql(source, group, value):

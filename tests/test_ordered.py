@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from patio.operators import quantiles as quantiles_module
 from patio.operators import ranking, stats
 from patio.operators.ordered import number_rows, with_neighbours
-from patio.operators.quantiles import quantile_row, quantiles, quantiles_by
+from patio.operators.quantiles import quantile_row, quantile_table, quantiles, quantiles_by
 
 SHAPES = {
     "spread": lambda r, i: round(r.uniform(0, 1000), 2),
@@ -19,6 +20,13 @@ SHAPES = {
 }
 
 
+def exact(v, p):
+    h = (len(v) - 1) * p
+    lo = int(h)
+    hi = min(lo + 1, len(v) - 1)
+    return v[lo] + (v[hi] - v[lo]) * (h - lo)
+
+
 def frame(spark, shape, n=120, parts=5):
     r = random.Random(n)
     rows = [(i * 3, "a" if r.random() < 0.5 else r.choice("bc"), SHAPES[shape](r, i), i % 7 + 0.5)
@@ -51,7 +59,51 @@ def test_no_single_partition_over_rows(spark, tiny, shape):
     plan = number_rows(df, "x", "id")._jdf.queryExecution().toString()
     physical = plan.split("== Physical Plan ==")[1]
     windows = [line for line in physical.splitlines() if "Window [row_number" in line]
-    assert windows and all("_cell" in line for line in windows)
+    assert windows and all("_off" in line for line in windows)
+
+
+def test_offsets_of_many_cells(spark, tiny):
+    """Offsets are added down the tree of cells; no window orders all cells."""
+    df = spark.range(3000).select("id", (F.col("id") * 7919 % 3001).cast("double").alias("x"))
+    numbered = number_rows(df, "x", "id", sums=["x"])
+    plan = numbered._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_off" in line or "_node" in line for line in windows)
+    got = sorted((r._pos, r.x, r._sum_x) for r in numbered.collect())
+    total = 0
+    for i, (pos, x, running) in enumerate(got):
+        total += x
+        assert (pos, running) == (i + 1, total)
+
+
+@pytest.mark.parametrize("shape", list(SHAPES))
+def test_many_columns_at_once(spark, tiny, shape):
+    """All columns in one chain give what each gives by itself."""
+    df = frame(spark, shape).withColumn("y", F.col("x") * F.col("v"))
+    names = {"x": ["x1", "x2"], "v": ["v1", "v2"], "y": ["y1", "y2"]}
+    for keys in (["g"], ["g", "id"]):
+        got = quantile_table(df, keys, names, [0.1, 0.75], [F.count("x").alias("n")])
+        want = {}
+        for r in df.collect():
+            want.setdefault(tuple(r[k] for k in keys), []).append(r)
+        assert got.count() == len(want)
+        for r in got.collect():
+            for c, (first, second) in names.items():
+                own = sorted(w[c] for w in want[tuple(r[k] for k in keys)] if w[c] is not None)
+                assert (r[first], r[second]) == (exact(own, 0.1), exact(own, 0.75)) if own else (None, None)
+
+
+@pytest.mark.parametrize("shape", list(SHAPES))
+def test_narrowed_brackets(spark, tiny, monkeypatch, shape):
+    """Brackets from a coarse sketch are narrowed until few rows are left."""
+    monkeypatch.setattr(quantiles_module, "ACCURACY", 100)
+    monkeypatch.setattr(quantiles_module, "REACH", 0.03)
+    df = frame(spark, shape, n=2000)
+    probs = [0.0, 0.01, 0.37, 0.5, 0.999, 1.0]
+    row = quantile_row(df, ["x", "v"], probs).first()
+    for c in ("x", "v"):
+        own = sorted(r[c] for r in df.collect() if r[c] is not None)
+        assert [row[f"{c}_q{i}"] for i in range(6)] == [pytest.approx(exact(own, p)) for p in probs]
 
 
 @pytest.mark.parametrize("shape", ["spread", "hot", "constant"])
@@ -74,12 +126,6 @@ def test_quantiles(spark, tiny, shape):
     values = sorted(r.x for r in df.collect() if r.x is not None)
     probs = [0.0, 0.2, 0.25, 0.5, 0.9, 1.0]
 
-    def exact(v, p):
-        h = (len(v) - 1) * p
-        lo = int(h)
-        hi = min(lo + 1, len(v) - 1)
-        return v[lo] + (v[hi] - v[lo]) * (h - lo)
-
     got = {r.p: r.valor for r in quantiles(df, "x", probs).collect()}
     assert got == pytest.approx({p: exact(values, p) for p in probs})
     groups = {r.g: r for r in quantiles_by(df, ["g"], "x", [0.3, 0.5], ["a", "b"],
@@ -116,12 +162,12 @@ def test_top_ranks_with_ties(spark, tiny):
 @pytest.mark.parametrize("shape", ["spread", "hot"])
 def test_average_ranks(spark, tiny, shape):
     df = frame(spark, shape)
-    values = [r.x for r in df.collect()]
-    for discrete in ([], ["x"]):
-        got = stats.average_ranks(df, ["x"], "id", discrete).collect()
-        for r in got:
-            below = sum(v < r.x for v in values)
-            assert r.x_rank == below + (values.count(r.x) + 1) / 2
+    values = {c: [r[c] for r in df.collect()] for c in ("x", "v")}
+    got = stats.average_ranks(df, ["x", "v"], "id").collect()
+    assert {(r.id, r.x, r.v) for r in got} == {(r.id, r.x, r.v) for r in df.collect()}
+    for r in got:
+        for c in values:
+            assert r[f"{c}_rank"] == sum(v < r[c] for v in values[c]) + (values[c].count(r[c]) + 1) / 2
 
 
 def test_ranking_reports_match_whole_tables(spark, sf):
