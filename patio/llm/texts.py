@@ -2,7 +2,8 @@
 
 Two texts link when the Jaccard similarity of their shingle sets is 0.75 or more. No link is lost:
 
-1. Equal sets become one node, named by its smallest id. Everything after works on distinct sets.
+1. Equal sets become one node, a number of its own. Everything after works on distinct sets, and ids come
+   back at the end.
 2. Each set is cut into parts by its shingles' hashes; a part's signature is the hash of its parity
    sketch. Sets that link differ in at most s parts (``shingles.max_difference``), so by pigeonhole the
    first s + 1 parts of both, in a common order, share a signature (``shingles.signatures``). Sizes are
@@ -10,17 +11,18 @@ Two texts link when the Jaccard similarity of their shingle sets is 0.75 or more
    Signatures that more than ``HOT`` sets carry are marked in a bit map of fixed size, and the order
    puts them last: shared passages then bring hardly any candidates. The marks change the order only,
    so they can't cost a link.
-3. Sets that share a signature meet in a group under the smallest key in it. A group never becomes all
-   its pairs: first every set is compared with one group head, then, in rounds, sets that are not yet
-   connected with the rest of their group look for their nearest set in another component, in blocks,
-   by the Hamming distance of dense parity sketches, which never exceeds the true difference. Proposals
-   are verified on the exact sets. A last round verifies every pair that is still possible and not yet
-   connected, so the components are those of all links.
+3. Sets that share a signature meet in a group under the smallest key in it. First every set is compared
+   with its group's head alone. Then sets that are not yet connected with the rest of their group look
+   for their nearest set in another component, in blocks, by the Hamming distance of dense parity
+   sketches, which never exceeds the true difference. Proposals are verified on the exact sets. A last
+   round verifies every pair that is still possible and not yet connected, so the components are those
+   of all links; that round gives one row per such pair, so very many sets just below the threshold cost
+   rows that grow with the square of their number.
 
 Results for odd rows: null, empty and blank texts have no shingles and link with nothing; texts of
-fewer than five words are one shingle; equal texts link; rows without an id get no component; an empty
-table gives an empty result. ``ident`` is taken to name a document: rows with the same id and different
-texts are compared as separate sets of the same name.
+fewer than five words are one shingle; equal texts link; rows without an id are compared like others and
+get the smallest id they reach, none if there is none; an empty table gives an empty result. Ids are whole
+numbers. Rows with the same id and different texts are compared as separate sets.
 """
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patio.llm.batches import add_columns, steps
-from patio.llm.common import private
+from patio.llm.common import WHITE, private
 from patio.llm.components import components
 from patio.llm.shingles import (dense_sketch, fold, max_difference, set_keys, shingle_sets, signatures,
                                 sketch_bits)
@@ -40,7 +42,7 @@ HOT = 64
 HOT_BITS = 24
 GROUP_SIGNS = 1 << 21
 CHUNK = 512
-NEAREST_ROUNDS = 1
+NEAREST_ROUNDS = 2
 
 _FEATURES = T.StructType([T.StructField("n", T.LongType()), T.StructField("a", T.LongType()),
                           T.StructField("b", T.LongType()), T.StructField("sketch", T.BinaryType())])
@@ -218,9 +220,9 @@ def _nearest(every: bool):
 def _propose(members: DataFrame, labels: DataFrame | None, every: bool, first: bool) -> DataFrame:
     """Stored (x, y) proposals over the groups that still hold several components.
 
-    Sets of a group's largest component don't ask, in the first round all do. Both sides are dealt in
-    chunks, so a task holds two chunks at most. Without ``every`` a set proposes its nearest partner
-    and, in the first round, its nearest group head.
+    In the first round all sets ask and only the head answers. Later, sets of a group's largest component
+    don't ask. Both sides are dealt in chunks, so a task holds two chunks at most. Without ``every`` a
+    set proposes its nearest partner.
     """
     if labels is not None:
         named = labels.select(F.col("node").alias("_n"), "component")
@@ -238,12 +240,12 @@ def _propose(members: DataFrame, labels: DataFrame | None, every: bool, first: b
     chunks = lambda count: F.ceil(count / CHUNK).cast("int")
     sided = members.join(largest, F.col("head") == F.col("_head")).select(
         "head", "node", "is_head", "label", asking.alias("can_ask"), chunks(n_asks).alias("ask_chunks"),
-        chunks(F.col("total")).alias("all_chunks"))
+        F.lit(1).alias("all_chunks") if first else chunks(F.col("total")).alias("all_chunks"))
     mine = F.xxhash64("node", F.lit(7))
     asks = sided.filter("can_ask").select(
         "head", "node", "is_head", "label", F.lit(True).alias("asks"), F.pmod(mine, F.col("ask_chunks")).alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_chunks").cast("long") - 1)).alias("j"))
-    answers = sided.select(
+    answers = (sided.filter("is_head") if first else sided).select(
         "head", "node", "is_head", "label", F.lit(False).alias("asks"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("ask_chunks").cast("long") - 1)).alias("i"),
         F.pmod(mine, F.col("all_chunks")).alias("j"))
@@ -251,17 +253,18 @@ def _propose(members: DataFrame, labels: DataFrame | None, every: bool, first: b
 
 
 def near_components(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame, DataFrame]:
-    """Stored features of every row (``id``, ``n``, keys), and stored distinct sets (keys, ``node``,
-    ``component``)."""
-    plain = docs.select(F.col(ident).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    features = durable(shingle_features(plain, "text", ["id"]))
-    known = features.filter("n > 0 and id is not null")
-    nodes = durable(known.groupBy("a", "b").agg(F.min(F.struct(
-        F.col("id").alias("node"), "n", "sketch")).alias("r")).select("a", "b", "r.*"))
+    """Stored features of every row (``id``, ``t`` of its text, ``n``, keys), and stored distinct sets
+    (keys, ``node``, ``component``, which is a node too, and ``component_id``)."""
+    plain = docs.select(F.col(ident).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
+                        F.md5(F.col(text).cast("string")).alias("t"))
+    features = durable(shingle_features(plain, "text", ["id", "t"]))
+    known = features.filter("n > 0")
+    nodes = durable(known.groupBy("a", "b").agg(F.min("id").alias("id"), F.min(F.struct(
+        "t", "n", "sketch")).alias("r")).select("a", "b", "id", "r.*").withColumn("node", F.monotonically_increasing_id()))
     shingles = features.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     heads = candidate_heads(plain.select("text"), shingles)
 
-    # (group, set) rows; a group is named by its head's key, a set by its smallest id
+    # (group, set) rows; a group is named by its head's key
     keyed = heads.select("head", F.col("x").alias("key")).unionByName(
         heads.select("head", F.col("head").alias("key")).distinct())
     members = durable(
@@ -271,8 +274,8 @@ def near_components(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame,
 
     verified, sets, labels = None, None, None
     for round_no in range(NEAREST_ROUNDS + 1):
-        every = round_no == NEAREST_ROUNDS
-        dealt = _propose(members, labels, every, round_no == 0)
+        every, first = round_no == NEAREST_ROUNDS, round_no == 0
+        dealt = _propose(members, labels, every, first)
         filled = dealt.join(sketches, "node")
         found = filled.groupBy("head", "i", "j").applyInArrow(_nearest(every), _PROPOSAL)
         if not every:
@@ -281,11 +284,14 @@ def near_components(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame,
         fresh = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         fresh = durable(fresh)
         if fresh.isEmpty():
+            if first:
+                continue
             break
-        if sets is None:
-            # every set with a possible partner proposes in the first round, so these are all sets
-            # that are ever verified
-            sets = durable(_sets(plain, fresh.select(F.explode(F.array("x", "y")).alias("node")).distinct()))
+        wanted = fresh.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select("node"), "node", "left_anti")
+        more = durable(_sets(plain, wanted.join(nodes.select("node", "t"), "node")))
+        sets = more if sets is None else sets.unionByName(more)
         links = durable(_verified(fresh, sets))
         verified = links if verified is None else verified.unionByName(links)
         if not every:
@@ -296,18 +302,20 @@ def near_components(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame,
     else:
         final = components(verified.select(F.col("x").alias("a"), F.col("y").alias("b")))
         named = nodes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return features.drop("sketch"), durable(named.select("a", "b", "node", "component"))
+    named = durable(named.select("a", "b", "id", "node", "component"))
+    ids = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    return features.drop("sketch"), named.join(ids, "component").select("a", "b", "node", "component", "component_id")
 
 
 def _sets(plain: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, set) rows: the sorted shingles of the wanted ids' texts."""
+    """(node, set) rows: the sorted shingles of the wanted (node, t) rows' texts."""
     def work(body, offsets):
         flat, bounds = shingle_sets(body, offsets)
         return [pa.array([flat[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())]
 
-    texts = plain.join(wanted.withColumnRenamed("node", "_node"), F.col("id") == F.col("_node")).select("id", "text")
+    texts = plain.select("t", "text").join(wanted, "t").dropDuplicates(["node"]).select("node", "text")
     added = T.StructType([T.StructField("set", T.BinaryType())])
-    return add_columns(texts, "text", added, work, ["id"]).withColumnRenamed("id", "node").dropDuplicates(["node"])
+    return add_columns(texts, "text", added, work, ["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -330,8 +338,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_texts(df: DataFrame, text: str = "text", ident: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns with ``n_shingles`` and ``component_id`` (smallest id reachable by links; null
-    without an id)."""
+    """The kept columns with ``n_shingles`` and ``component_id`` (smallest id reachable by links, its own
+    included)."""
     made = ("n_shingles", "component_id")
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
     features, nodes = near_components(df, text, ident)
@@ -342,19 +350,28 @@ def near_texts(df: DataFrame, text: str = "text", ident: str = "doc_id", keep: l
         packed = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
                            F.col(ident).cast("long").alias("id"), F.col(text).alias("text"))
         rows = shingle_features(packed, "text", ["row", "id"]).drop("sketch")
-    by_set = nodes.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "component")
+    by_set = nodes.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "component_id")
     joined = rows.join(by_set, (F.col("n") > 0) & (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left")
     return joined.select("row.*", F.col("n").alias("n_shingles"), F.when(
-        F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+        F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def drop_near_copies(df: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """One row of each component, the one with the smallest id; rows without an id stay. Of rows that
-    share an id one stays."""
-    decided = near_texts(df, text, ident, [ident]).filter(F.col(ident).isNotNull())
-    gone = durable(decided.filter(F.col("component_id") != F.col(ident).cast("long")).select(
-        F.col(ident).alias("_gone")).distinct())
-    once, own = private(df, "_once"), F.col(ident).cast("string")
-    left = df.join(gone, F.col(ident) == F.col("_gone"), "left_anti").withColumn(once, F.coalesce(
-        own, F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))))
-    return left.dropDuplicates([once]).drop(once)
+    """One row of each component: the one with the smallest id (rows without an id last), of several texts
+    under that id the one with the smallest digest, and one of rows equal in id and text. Rows without
+    words stay."""
+    def named(row_id, digest):
+        return F.concat_ws(":", F.coalesce(row_id.cast("string"), F.lit("-")), digest)
+
+    features, nodes = near_components(df, text, ident)
+    decided = features.filter("n > 0").join(nodes.select("a", "b", "component"), ["a", "b"])
+    best = decided.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("r"))
+    keep = best.select(named(F.col("r.id"), F.col("r.t")).alias("_gone"))
+    gone = durable(decided.select(named(F.col("id"), F.col("t")).alias("_gone")).distinct().join(keep, "_gone", "left_anti"))
+    own, body = private(df, "_row"), F.coalesce(F.col(text).cast("string"), F.lit(""))
+    left = df.withColumn(own, F.when(
+        F.btrim(body, F.lit(WHITE)) != "", named(F.col(ident).cast("long"), F.md5(body))).otherwise(
+        F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))))
+    gone = gone.withColumnRenamed("_gone", private(left, "_gone"))
+    left = left.join(gone, F.col(own) == F.col(gone.columns[0]), "left_anti")
+    return left.dropDuplicates([own]).drop(own)
