@@ -142,6 +142,32 @@ def test_rules_match_brute_force(spark, monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("good_holds_all", [False, True])
+def test_equal_urls_of_many_tokens(spark, good_holds_all):
+    """2^20 sets of tokens with the same bad urls are one item; only pairs are counted."""
+    tokens = [f"p:{i:02}" for i in range(20)]
+    rows = [(tokens, True)] * 5 + [([t], False) for t in tokens for _ in range(5)]
+    rows += [(tokens, False)] * 5 if good_holds_all else []
+    found = mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+    want = [] if good_holds_all else sorted(combinations(tokens, 2))
+    assert sorted(tuple(r.tokens) for r in found) == want
+
+
+def test_urls_with_odd_rows_and_clashing_columns(spark):
+    labelled = spark.createDataFrame([(["h:spam"], True)] * 6, "tokens array<string>, bad boolean")
+    names = ["_url", "_key", "_mined", "_body", "Host", "rule", "tokens", "rule_id", "url"]
+    long = "http://spam/" + "x" * 1_000_000
+    pages = spark.createDataFrame([(*range(8), u) for u in ("http://spam/a", None, "", "no url", long, "http://spam/a")],
+                                  ", ".join(f"{c} {'string' if c == 'url' else 'long'}" for c in names))
+    out = filter_urls(pages, labelled)
+    assert out.columns == ["_url", "_key", "_mined", "_body", "tokens", "rule_id", "url", "host", "path", "rule",
+                           "verdict", "mined_rules"]
+    got = sorted(((r.url or "")[:14], r.host, r.verdict) for r in out.collect())
+    assert got == [("", "", "allow"), ("", "", "allow"), ("http://spam/a", "spam", "block"),
+                   ("http://spam/a", "spam", "block"), ("http://spam/xx", "spam", "block"), ("no url", "", "allow")]
+    assert filter_urls(pages.filter("1 = 0"), labelled).count() == 0
+
+
 def test_index_needs_all_tokens(spark):
     rules = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"])], "rule_id long, tokens array<string>")
     rows = spark.createDataFrame([("x", ["a", "c"]), ("y", ["b", "a"]), ("z", [])], "key string, tokens array<string>")
