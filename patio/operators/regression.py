@@ -4,10 +4,11 @@ One-hot vectors stay sparse. Columns are divided by their training standard devi
 would only move the intercept of the linear models and no split of a tree, so fits leave it out.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from patio.columns import DATE, ENTITY, FUEL, ID, PRICE, STATUS, YEAR
 from patio.functions.dates import cyclic_month, vehicle_age
 from patio.functions.numeric import round_stable
+from patio.session import scalar_struct
 
 NUMERIC = [YEAR, "idade", "mes", "trimestre", "sin_mes", "cos_mes"]
 CATEGORIES = [FUEL, STATUS, ENTITY]
+# The two directions of a coefficient.
 UP, DOWN = "↑ preço mais alto", "↓ preço mais baixo"
 MODELS = ["linear", "ridge", "lasso", "arvore"]
 
@@ -66,8 +69,10 @@ def feature_matrix(engineered: DataFrame) -> FeatureSpace:
 
 
 def hash_bucket(seed: int, buckets: int) -> Column:
-    """Bucket from the row id: the same for any partitioning and on every retry."""
-    return F.pmod(F.xxhash64(F.col(ID), F.lit(seed)), F.lit(buckets))
+    """Bucket from the row id, by digits of a hash that SQL engines share: the same for any partitioning
+    and on every retry."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(ID))), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % buckets
 
 
 def split_train_test(df: DataFrame, test_pct: int = 20, seed: int = 42
@@ -125,54 +130,139 @@ def predict(name: str, train: DataFrame, test: DataFrame):
     return model, predicted
 
 
-def regression_metrics(predicted: DataFrame, by: Sequence[str] = ("modelo",)) -> DataFrame:
-    """R2 (negative when worse than the mean), MAE and RMSE per group in one aggregate."""
+def regression_metrics(predicted: DataFrame, by: Sequence[str] = ("modelo",), rows: bool = False) -> DataFrame:
+    """R2 (negative when worse than the mean), MAE and RMSE per group in one aggregate; ``rows`` adds the
+    group's size."""
     error = F.col("label") - F.col("prediction")
     sse = F.sum(error * error)
     sst = F.var_pop("label") * F.count("label")
+    size = [F.count(F.lit(1)).alias("linhas")] if rows else []
     return predicted.groupBy(*by).agg(
-        round_stable(F.lit(1.0) - sse / sst, 6).alias("r2"),
+        *size, round_stable(F.lit(1.0) - sse / sst, 6).alias("r2"),
         round_stable(F.avg(F.abs(error)), 4).alias("mae"),
         round_stable(F.sqrt(F.avg(error * error)), 4).alias("rmse"))
 
 
 def kfold_cv(train: DataFrame, names: Sequence[str] = MODELS, folds: int = 5, seed: int = 43,
              parallelism: int = 4) -> DataFrame:
-    """R2 per model and fold on the already scaled training rows; fits run as concurrent jobs."""
+    """Rows and R2 per model and fold on the already scaled training rows; fits run as concurrent jobs."""
     fold = hash_bucket(seed, folds)
     rows = train.persist()
 
-    def score(job: tuple[str, int]) -> tuple[str, int, float]:
+    def score(job: tuple[str, int]) -> tuple[str, int, int, float]:
         name, i = job
         _, predicted = predict(name, rows.filter(fold != i), rows.filter(fold == i))
-        return name, i + 1, regression_metrics(predicted).first()["r2"]
+        found = regression_metrics(predicted.withColumn("fold", F.lit(i)), ["modelo", "fold"], rows=True).first()
+        return name, i + 1, found["linhas"] if found else 0, found["r2"] if found else None
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             scores = list(pool.map(score, [(m, i) for m in names for i in range(folds)]))
     finally:
         rows.unpersist()
-    return train.sparkSession.createDataFrame(scores, "modelo string, fold int, r2 double")
-
-
-def _ranking(train: DataFrame, names: Sequence[str], values: Sequence[float], column: str, n: int
-             ) -> DataFrame:
-    spark = train.sparkSession
-    table = spark.createDataFrame(
-        [(f, float(v)) for f, v in zip(names, values)], f"feature string, {column} double")
-    return table.orderBy(F.desc(F.abs(column)), "feature").limit(n)
+    return train.sparkSession.createDataFrame(scores, "modelo string, fold int, linhas long, r2 double")
+
+
+def level_columns(df: DataFrame, column: str, levels: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Adds a 0/1 column for every level but the alphabetically first; returns their names."""
+    kept = sorted(levels)[1:]
+    names = [f"{column}_{v}" for v in kept]
+    return df.withColumns({n: (F.col(column) == v).cast("double") for n, v in zip(names, kept)}), names
+
+
+def long_features(engineered: DataFrame, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = CATEGORIES
+                  ) -> DataFrame:
+    """The feature matrix as (id, feature, valor) rows, zeros left out: numeric columns, and 1 for the level
+    of each category unless it is the alphabetically first one."""
+    firsts = scalar_struct(engineered.agg(*[F.min(c).alias(c) for c in categories]))
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("valor")) for c in numeric]
+    cells += [F.struct(F.concat(F.lit(f"{c}_"), F.col(c)).alias("feature"), F.when(
+        F.col(c) != firsts[c], F.lit(1.0)).otherwise(F.lit(0.0)).alias("valor")) for c in categories]
+    return engineered.select(ID, F.inline(F.array(*cells))).filter("valor != 0")
+
+
+def scale_long(long: DataFrame, fit: Column) -> DataFrame:
+    """(id, feature, valor) rows divided by each feature's population standard deviation over the rows
+    where ``fit`` holds, left-out zeros counted; a feature without variance there stays as it is."""
+    n = long.filter(fit).select(F.count_distinct(ID)).scalar()
+    sums = long.filter(fit).groupBy("feature").agg(
+        F.sum("valor").alias("_s"), F.sum(F.col("valor") * F.col("valor")).alias("_q"))
+    mean = F.col("_s") / n
+    spread = sums.select("feature", F.sqrt(F.col("_q") / n - mean * mean).alias("_d"))
+    return long.join(spread, "feature", "left").select(
+        ID, "feature", F.when(F.col("_d") > 0, F.col("valor") / F.col("_d")).otherwise(F.col("valor")).alias("valor"))
+
+
+def gram_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(x, y, soma) rows from one aggregate: the row count under ("", ""), each column's sum under ("", y),
+    and the centred sums of products of every pair of columns."""
+    columns = list(columns)
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    n = F.count(F.lit(1))
+    cells = [("", "", n.cast("double"))] + [("", c, F.sum(c)) for c in columns]
+    cells += [(a, b, F.covar_pop(a, b) * n) for a, b in pairs]
+    return df.agg(*[v.cast("double").alias(f"_{i}") for i, (_, _, v) in enumerate(cells)]).select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"_{i}").alias("soma"))
+        for i, (a, b, _) in enumerate(cells)])))
+
+
+def gram_coefficients(gram: DataFrame, features: Sequence[str], label: str, alphas: Mapping[str, float]) -> DataFrame:
+    """(modelo, feature, coeficiente) rows of ridge models solved from a Gram table, which holds a few numbers
+    per pair of features. Coefficients are those of features divided by their standard deviation; the
+    intercept is the row without a feature name. Features without variance get 0."""
+    sums = {(r.x, r.y): r.soma for r in gram.collect()}
+    n = sums["", ""] or 0.0
+    mean = {c: sums["", c] / n for c in (*features, label)} if n else {}
+    kept = [c for c in features if n and sums[c, c] > 1e-12 * max(n, sums["", c] ** 2 / n)]
+    spread = np.array([(sums[c, c] / n) ** 0.5 for c in kept])
+    pair = lambda a, b: sums[(a, b) if (a, b) in sums else (b, a)]
+    products = np.array([[pair(a, b) for b in kept] for a in kept]).reshape(len(kept), len(kept)) / np.outer(spread, spread)
+    target = np.array([pair(c, label) for c in kept]) / spread
+    rows = []
+    for name, alpha in alphas.items():
+        beta = dict(zip(kept, np.linalg.solve(products + alpha * np.eye(len(kept)), target))) if kept else {}
+        rows += [(name, c, float(beta.get(c, 0.0))) for c in features]
+        shift = sum(beta[c] * mean[c] / s for c, s in zip(kept, spread))
+        rows.append((name, "", float(mean[label] - shift) if n else None))
+    return gram.sparkSession.createDataFrame(rows, "modelo string, feature string, coeficiente double")
+
+
+def predict_gram(df: DataFrame, gram: DataFrame, coefficients: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(modelo, id, label, prediction) rows of all models of a coefficient table."""
+    sums = {(r.x, r.y): r.soma for r in gram.collect()}
+    spread = {c: (sums[c, c] / sums["", ""]) ** 0.5 if sums["", ""] else 0.0 for c in features}
+    models = {}
+    for r in coefficients.collect():
+        models.setdefault(r.modelo, {})[r.feature] = r.coeficiente
+    cells = []
+    for name, beta in models.items():
+        value = F.lit(beta[""])
+        for c in features:
+            if beta[c]:
+                value = value + F.col(c) * F.lit(beta[c] / spread[c])
+        cells.append(F.struct(F.lit(name).alias("modelo"), value.alias("prediction")))
+    return df.select(ID, "label", F.inline(F.array(*cells))).select("modelo", ID, "label", "prediction")
 
 
 def coef_ranking(train: DataFrame, names: Sequence[str], n: int = 15) -> DataFrame:
     """Ridge coefficients by magnitude with the direction of their effect."""
     model = estimator("ridge", train).fit(train)
-    top = _ranking(train, names, model.coefficients.toArray(), "coeficiente", n)
+    table = train.sparkSession.createDataFrame(
+        [(f, float(v)) for f, v in zip(names, model.coefficients.toArray())], "feature string, coeficiente double")
+    return rank_coefficients(table, n)
+
+
+def rank_coefficients(table: DataFrame, n: int = 15) -> DataFrame:
+    """The first n (feature, coeficiente) rows by magnitude with the direction of their effect."""
+    top = table.orderBy(F.desc(F.abs("coeficiente")), "feature").limit(n)
     return top.withColumn("sentido", F.when(F.col("coeficiente") > 0, UP).otherwise(DOWN))
 
 
 def feature_importance(train: DataFrame, names: Sequence[str], n: int = 15) -> DataFrame:
     model = estimator("arvore", train).fit(train)
-    return _ranking(train, names, model.featureImportances.toArray(), "importancia", n)
+    table = train.sparkSession.createDataFrame(
+        [(f, float(v)) for f, v in zip(names, model.featureImportances.toArray())], "feature string, importancia double")
+    return table.orderBy(F.desc("importancia"), "feature").limit(n)
 
 
 def residual_points(predicted: DataFrame) -> DataFrame:

@@ -150,3 +150,45 @@ def test_kfold_covers_every_row(spark):
     train, _, _ = numeric_rows(spark)
     out = regression.kfold_cv(train, ["linear"]).collect()
     assert sorted(r.fold for r in out) == [1, 2, 3, 4, 5] and all(r.r2 > 0.9 for r in out)
+
+
+def test_gram_models_match_normal_equations(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 3)) * [1, 50, 0.1] + [5, -3, 0]
+    y = x @ [2.0, 0.3, -40.0] + 7 + rng.normal(size=300)
+    df = spark.createDataFrame([(i, *map(float, r), 4.0, float(v)) for i, (r, v) in enumerate(zip(x, y))],
+                               "id long, a double, b double, c double, flat double, label double")
+    names = ["a", "b", "c", "flat"]
+    gram = regression.gram_table(df, [*names, "label"])
+    for alpha in (0.0, 25.0):
+        coefficients = regression.gram_coefficients(gram, names, "label", {"m": alpha})
+        got = {r.feature: r.coeficiente for r in coefficients.collect()}
+        z = (x - x.mean(axis=0)) / x.std(axis=0)
+        want = np.linalg.solve(z.T @ z + alpha * np.eye(3), z.T @ (y - y.mean()))
+        assert [got[c] for c in names] == pytest.approx([*want, 0.0])
+        predicted = {r.id: r.prediction for r in regression.predict_gram(df, gram, coefficients, names).collect()}
+        assert [predicted[i] for i in range(300)] == pytest.approx(z @ want + y.mean())
+    none = regression.gram_table(df.filter("id < 0"), [*names, "label"])
+    assert {r.coeficiente for r in regression.gram_coefficients(none, names, "label", {"m": 1.0}).collect()} == {0.0, None}
+
+
+def test_long_features_equal_vectors(spark, sf):
+    engineered = regression.engineer(listings(spark, sf))
+    space = regression.feature_matrix(engineered)
+    want = {(r.id, space.names[i], v) for r in space.transform(engineered).collect()
+            for i, v in zip(*map(list, (r.raw.toArray().nonzero()[0], r.raw.toArray()[r.raw.toArray().nonzero()])))}
+    assert {tuple(r) for r in regression.long_features(engineered).collect()} == want
+
+
+def test_long_scaling_counts_zeros(spark):
+    long = spark.createDataFrame([(1, "a", 2.0), (2, "a", 4.0), (2, "b", 1.0), (3, "c", 1.0), (9, "b", 8.0)],
+                                 "id long, feature string, valor double")
+    got = {(r.id, r.feature): r.valor for r in regression.scale_long(long, F.col("id") < 9).collect()}
+    a, b = np.std([2, 4, 0]), np.std([0, 1, 0])
+    assert got == pytest.approx({(1, "a"): 2 / a, (2, "a"): 4 / a, (2, "b"): 1 / b, (3, "c"): 1 / b, (9, "b"): 8 / b})
+
+
+def test_folds_are_whole(spark):
+    train, _, _ = numeric_rows(spark)
+    out = regression.kfold_cv(train, ["linear"]).collect()
+    assert sum(r.linhas for r in out) == train.count()
