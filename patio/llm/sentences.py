@@ -39,10 +39,12 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
 
-#: Characters of new words that are encoded at once, words kept by a task, ids decoded at once.
-STEP_CHARS = 150_000
-KEEP_WORDS = 150_000
-STEP_IDS = 500_000
+#: Characters of new words that are encoded at once, words kept by a task, bits of the number of judged
+#: pairs kept by a task, ids decoded at once.
+STEP_CHARS = 400_000
+KEEP_WORDS = 400_000
+JUDGED_BITS = 21
+STEP_IDS = 250_000
 _NONE = np.int64(1) << 40
 
 
@@ -208,8 +210,8 @@ class Encoder:
         self.model, self.b = model, model._built
         self.word = re.compile(self.b["word"])
         self._forget()
-        self.judged = np.full(1 << 18, -1, np.int64)  # keys of pairs
-        self.verdict = np.zeros(1 << 18, bool)
+        self.judged = np.full(1 << JUDGED_BITS, -1, np.int64)  # keys of pairs
+        self.verdict = np.zeros(1 << JUDGED_BITS, bool)
 
     def _forget(self):
         self.known: dict[str, int] = {}
@@ -321,7 +323,7 @@ class Encoder:
     def _follows(self, a: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Whether merging by rank leaves the pair of tokens as it is."""
         keys = a * (self.b["v"] + 1) + c
-        slots = (mix(keys.astype(np.uint64)) >> np.uint64(46)).astype(np.int64)
+        slots = self._slots(keys)
         miss = self.judged[slots] != keys
         out = self.verdict[slots]
         if miss.any():
@@ -329,11 +331,14 @@ class Encoder:
             n = self.b["v"] + 1
             judged = self._judge(fresh // n, fresh % n)
             out[miss] = judged[back]
-            slots = (mix(fresh.astype(np.uint64)) >> np.uint64(46)).astype(np.int64)
+            slots = self._slots(fresh)
             self.judged[slots] = fresh
             self.verdict[slots] = judged[np.searchsorted(fresh, self.judged[slots])]
         return out
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.astype(np.uint64)) >> np.uint64(64 - JUDGED_BITS)).astype(np.int64)
+
     def _merged(self, a: np.ndarray, c: np.ndarray) -> np.ndarray:
         keys, to = self.b["pair_keys"], self.b["pair_to"]
         if not len(keys):
