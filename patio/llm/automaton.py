@@ -16,7 +16,8 @@ ALL = frozenset(range(256))
 class _Parser:
     """One rule as a nondeterministic automaton: lists of (byte set, target) and empty moves."""
 
-    def __init__(self):
+    def __init__(self, backward: bool = False):
+        self.backward = backward
         self.moves: list[list[tuple[frozenset, int]]] = []
         self.empty: list[list[int]] = []
 
@@ -114,7 +115,7 @@ class _Parser:
             return a, b
         if kind == "and":
             start = end = self.state()
-            for part in tree[1]:
+            for part in reversed(tree[1]) if self.backward else tree[1]:
                 a, b = self._build(part)
                 self.empty[end].append(a)
                 end = b
@@ -172,9 +173,10 @@ class Automaton:
         return after[self.classes[:, None], self.classes[None, :]].reshape(-1)
 
 
-def compile_rules(rules: list[str], anywhere: bool) -> Automaton:
-    """One automaton for all rules; ``anywhere`` lets a match begin at any byte."""
-    nfa = _Parser()
+def compile_rules(rules: list[str], anywhere: bool, backward: bool = False) -> Automaton:
+    """One automaton for all rules; ``anywhere`` lets a match begin at any byte, ``backward`` reads texts
+    from their ends."""
+    nfa = _Parser(backward)
     starts, ends = [], {}
     for r, rule in enumerate(rules):
         a, b = nfa.parse(rule)
@@ -297,6 +299,17 @@ def ends_of(machine: Automaton, symbols: np.ndarray, places: np.ndarray,
     return np.concatenate(where), np.concatenate(what)
 
 
+def starts_in(machine: Automaton, symbols: list) -> list[int]:
+    """Places, ascending, where a match begins, in one pass of a backward automaton from the end."""
+    table, marked, width, state, out = machine.table, machine.accepts != 0, machine.n_classes, 0, []
+    table, marked = table.tolist(), marked.tolist()
+    for i in range(len(symbols) - 1, -1, -1):
+        state = table[state * width + symbols[i]]
+        if marked[state]:
+            out.append(i)
+    return out[::-1]
+
+
 def longest_from(machine: Automaton, symbols: list, start: int, stop: int | None = None) -> int:
     """End of the longest match that begins at ``start`` and ends by ``stop``; -1 without one."""
     state, end = 0, -1

@@ -1,14 +1,14 @@
 """Secret scanning: all rules as one automaton, one pass over the bytes.
 
 The rules' search forms are compiled together (``automaton``); one pass over every text marks where
-some rule ends. Spans come from the marked pieces alone: from each place in turn the automaton of the
-rule's loose form takes the longest match, leftmost first, without overlap inside a kind, and a match
-counts if the strict form ends at the same place. Matches that fail still use up their text, as in a
-search with a pattern followed by a filter.
+some rule ends. Spans come from the marked pieces alone: the rule's loose form, read backward, marks in
+one pass all places where a match begins; from the leftmost one the longest match is taken, then from the
+next one behind it, without overlap inside a kind, and a match counts if the strict form ends at the same
+place. Matches that fail still use up their text, as in a search with a pattern followed by a filter.
 
 Results for odd rows: null and empty texts have no spans; positions are code points of the whole
 text; very long texts are cut only at places that no match can cross; repeated rows give repeated
-results.
+results; an empty table gives an empty one; a given column named like the result is replaced.
 """
 
 from dataclasses import dataclass
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from patio.llm.automaton import breaks, compile_rules, ends_of, longest_from
+from patio.llm.automaton import breaks, compile_rules, ends_of, longest_from, starts_in
 from patio.llm.batches import add_columns, code_points
 
 
@@ -70,6 +70,7 @@ class Scanner:
             compile_rules([r.loose or r.strict], anywhere=True).resets() for r in rules])
         # spans are delimited rule by rule, so that a place where another rule goes on is left at once
         self.loose = [compile_rules([r.loose or r.strict], anywhere=False) for r in rules]
+        self.back = [compile_rules([r.loose or r.strict], anywhere=True, backward=True) for r in rules]
         self.strict = [compile_rules([r.strict], anywhere=False) for r in rules]
 
     def spans(self, body: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -85,15 +86,13 @@ class Scanner:
                 part = body[first:last]
                 loose = loose_form.classes[part].tolist()
                 strict = strict_form.classes[part].tolist()
-                at = 0
-                while at < len(loose):
-                    end = longest_from(loose_form, loose, at)
-                    if end < 0:
-                        at += 1
+                end = 0
+                for at in starts_in(self.back[rule], self.back[rule].classes[part].tolist()):
+                    if at < end:
                         continue
+                    end = longest_from(loose_form, loose, at)
                     if longest_from(strict_form, strict, at, end) == end:
                         out.append((first + at, rule, first + end))
-                    at = end
         if not out:
             return []
         texts = np.searchsorted(offsets, [s for s, _, _ in out], "right") - 1

@@ -12,7 +12,7 @@ from patio.llm.automaton import compile_rules
 from patio.llm.hashing import text_hash
 from patio.llm.language import UNKNOWN, ByteNetwork, predict_language, train_language
 from patio.llm.plans.learned import MODEL, op3_language_id, op7_toxicity
-from patio.llm.secrets import BASE_RULES, Scanner, find_secrets
+from patio.llm.secrets import BASE_RULES, RULES, Scanner, find_secrets
 from patio.llm.sentences import BPE, UNIGRAM, Encoder, PieceModel, decode_ids, encode_texts
 from patio.llm.toxicity import FEATURES, LEXICON, score_toxicity, text_features
 
@@ -53,6 +53,36 @@ def test_spans_match_regular_expressions(docs):
         assert [(s.kind, s.start, s.end) for s in r.secrets if s.kind in kinds] == brute_spans(texts[r.doc_id])
 
 
+PARTS = ["-----BEGIN ", "RSA ", "PRIVATE KEY-----", "ghp_", "gho_", "a" * 36, "B" * 20, "xoxb-", "1-2", "AIza", "z_" * 18,
+         "eyJ", "eyJhbGciOiJI.", ".", "abcdefgh", "https", "://", "user", ":", "pa$$", "@", "host", " ", "\n", "-----", "_"]
+
+
+def test_all_kinds_match_regular_expressions(docs):
+    """The loose form of each rule finds, the strict form must fit the whole of what it found."""
+    random.seed(4)
+    texts = ["".join(random.choices(PARTS + ALPHABET, k=random.randint(0, 30))) for _ in range(400)]
+    texts += ["-----BEGIN RSA PRIVATE KEY-----", "eyJ" + "a" * 9 + "." + "b" * 9 + "." + "c" * 9, "x ssh://u.x:p@h",
+              "ghs_" + "a" * 36, "xoxb-" + "1" * 10, "AIza" + "q" * 35]
+    forms = [(r.kind, re.compile(r.loose or r.strict), re.compile(r.strict)) for r in RULES]
+    seen = set()
+    for r in find_secrets(docs([(i, t, "a") for i, t in enumerate(texts)]), keep=["doc_id"]).collect():
+        want = sorted((m.start(), k, m.end()) for k, (_, loose, strict) in enumerate(forms)
+                      for m in loose.finditer(texts[r.doc_id]) if strict.fullmatch(m[0]))
+        assert [(s.kind, s.start, s.end) for s in r.secrets] == [(RULES[k].kind, a, b) for a, k, b in want]
+        seen |= {s.kind for s in r.secrets}
+    assert seen == {r.kind for r in RULES}
+
+
+def test_long_runs_are_linear(docs):
+    n = 200_000
+    texts = ["g" * n + ".x://u:p@h", "eyJ" * (n // 3) + ".", "eyJ" * (n // 3) + "." + "a" * 9 + "." + "b" * 9,
+             "g" * n + "://u:p@h", "-----BEGIN " * (n // 11) + "PRIVATE KEY-----", "ghp_" * (n // 4)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secrets]
+           for r in find_secrets(docs([(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert got[0] == [("url_login", n + 1, n + 9)] and got[1] == [] and len(got[2]) == 1
+    assert got[3] == [("url_login", 0, n + 7)]
+
+
 def test_long_text_without_a_break(docs):
     text = "a" * 50_000 + "Z" * 50_000 + "token=" + "Q" * 9_000
     row = find_secrets(docs([(1, text, "a")])).first()
