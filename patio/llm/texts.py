@@ -11,13 +11,13 @@ Two texts link when the Jaccard similarity of their shingle sets is 0.75 or more
    Signatures that more than ``HOT`` sets carry are marked in a bit map of fixed size, and the order
    puts them last: shared passages then bring hardly any candidates. The marks change the order only,
    so they can't cost a link.
-3. Sets that share a signature meet in a group under the smallest key in it. First every set is compared
-   with its group's head alone. Then sets that are not yet connected with the rest of their group look
-   for their nearest set in another component, in blocks, by the Hamming distance of dense parity
-   sketches, which never exceeds the true difference. Proposals are verified on the exact sets. A last
-   round verifies every pair that is still possible and not yet connected, so the components are those
-   of all links; that round gives one row per such pair, so very many sets just below the threshold cost
-   rows that grow with the square of their number.
+3. Sets that share a signature meet in a group under the smallest key in it. Every set proposes its
+   nearest set and its group's head, in blocks, by the Hamming distance of dense parity sketches, which
+   never exceeds the true difference. Proposals are verified on the exact sets. A last round verifies
+   every pair that is still possible and not yet connected, so the components are those of all links;
+   that round gives one row per such pair, so very many sets just below the threshold cost rows that
+   grow with the square of their number, and in the first round a group of n sets is copied n / CHUNK
+   times.
 
 Results for odd rows: null, empty and blank texts have no shingles and link with nothing; texts of
 fewer than five words are one shingle; equal texts link; rows without an id are compared like others and
@@ -42,7 +42,7 @@ HOT = 64
 HOT_BITS = 24
 GROUP_SIGNS = 1 << 21
 CHUNK = 512
-NEAREST_ROUNDS = 2
+NEAREST_ROUNDS = 1
 
 _FEATURES = T.StructType([T.StructField("n", T.LongType()), T.StructField("a", T.LongType()),
                           T.StructField("b", T.LongType()), T.StructField("sketch", T.BinaryType())])
@@ -220,9 +220,9 @@ def _nearest(every: bool):
 def _propose(members: DataFrame, labels: DataFrame | None, every: bool, first: bool) -> DataFrame:
     """Stored (x, y) proposals over the groups that still hold several components.
 
-    In the first round all sets ask and only the head answers. Later, sets of a group's largest component
-    don't ask. Both sides are dealt in chunks, so a task holds two chunks at most. Without ``every`` a
-    set proposes its nearest partner.
+    Sets of a group's largest component don't ask, in the first round all do. Both sides are dealt in
+    chunks, so a task holds two chunks at most. Without ``every`` a set proposes its nearest partner
+    and, in the first round, its nearest group head.
     """
     if labels is not None:
         named = labels.select(F.col("node").alias("_n"), "component")
@@ -240,12 +240,12 @@ def _propose(members: DataFrame, labels: DataFrame | None, every: bool, first: b
     chunks = lambda count: F.ceil(count / CHUNK).cast("int")
     sided = members.join(largest, F.col("head") == F.col("_head")).select(
         "head", "node", "is_head", "label", asking.alias("can_ask"), chunks(n_asks).alias("ask_chunks"),
-        F.lit(1).alias("all_chunks") if first else chunks(F.col("total")).alias("all_chunks"))
+        chunks(F.col("total")).alias("all_chunks"))
     mine = F.xxhash64("node", F.lit(7))
     asks = sided.filter("can_ask").select(
         "head", "node", "is_head", "label", F.lit(True).alias("asks"), F.pmod(mine, F.col("ask_chunks")).alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_chunks").cast("long") - 1)).alias("j"))
-    answers = (sided.filter("is_head") if first else sided).select(
+    answers = sided.select(
         "head", "node", "is_head", "label", F.lit(False).alias("asks"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("ask_chunks").cast("long") - 1)).alias("i"),
         F.pmod(mine, F.col("all_chunks")).alias("j"))
