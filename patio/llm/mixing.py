@@ -13,8 +13,9 @@
    may be shorter.
 
 Only built-in functions are used. Results for odd rows: documents without words take 0; a null
-source is a source of its own, last in order; repeated rows are drawn for themselves; an empty table
-gives an empty mix. A rerun over the same rows gives the same mix.
+source is a source of its own, last in order; repeated rows are drawn for themselves, and rows without
+an id or with a shared one are spread over shards like others; very long texts are cut into blocks; an
+empty table gives an empty mix; the documents of a mix keep extra columns of any name. A rerun over the same rows gives the same mix.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,7 @@ CAP = 3
 BLOCK = 128
 SHARD_WORDS = 1 << 18
 MAX_SHARDS = 100_000
+LANES = 1024
 SEED = 17
 
 
@@ -112,12 +114,37 @@ def _number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
+def with_tickets(sized: DataFrame, seed: int = SEED) -> DataFrame:
+    """The rows with ``_ticket``, a seeded draw of the id. Rows that share an id, null included, draw by
+    source, size and hash of the text as well, and equal rows by their place among each other, so that no
+    id fills a shard. Equal rows may change places between runs, which leaves the result as it is; they are
+    numbered in ``LANES`` lanes, so that no task numbers a whole group."""
+    if "hash" not in sized.columns:
+        sized = sized.withColumn("hash", F.lit(0).cast("long"))
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    shared = sized.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
+        F.col("doc_id").alias("_id"), F.lit(True).alias("_shared"))
+    marked = durable(sized.join(shared, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id"))
+    alone = marked.filter("_shared is null").withColumn("_ticket", _draw(F.lit(seed), ident))
+    equal = marked.filter("_shared").withColumns({
+        "_ticket": _draw(F.lit(seed), ident, F.coalesce("source", F.lit("")), F.col("size"), F.col("hash")),
+        "_lane": F.pmod(F.xxhash64("row"), F.lit(LANES))})
+    earlier = Window.partitionBy("_ticket").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
+    lanes = equal.groupBy("_ticket", "_lane").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_ticket", "_lane", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_ticket", "_lane").orderBy("row"))
+    dealt = equal.withColumn("_place", place).join(lanes, ["_ticket", "_lane"]).withColumn(
+        "_ticket", _draw(F.col("_ticket"), F.col("_before") + F.col("_place"))).select(alone.columns)
+    return alone.unionByName(dealt).drop("_shared", "hash")
+
+
 def plan_mix(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK,
              shard_words: int = SHARD_WORDS, max_shards: int = MAX_SHARDS, seed: int = SEED) -> DataFrame:
     """The mix of a stored table (doc_id, source, size, row): its columns with ``source_size``,
     ``target``, ``taken``, ``passes`` (whole copies) and ``parts`` (word ranges taken besides).
 
-    ``row`` tells rows apart and must not change between reads. ``shard_words`` grows with the table
+    ``row`` tells rows apart and must not change between reads; a column ``hash`` of the text, if there is
+    one, tells apart rows that share the rest. ``shard_words`` grows with the table
     beyond ``max_shards`` shards, so that neither the shards of a source nor the rows of a shard get
     too many for a task.
     """
@@ -133,11 +160,9 @@ def plan_mix(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLO
             F.round("target"), F.lit(1))).otherwise(0).cast("long"))
         .withColumn("_shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1))))
 
-    ticket = _draw(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     side = sources.withColumnRenamed("source", "_source")
     drawn = (
-        sized.join(side, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-        .withColumn("_ticket", ticket)
+        with_tickets(sized, seed).join(side, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         .withColumn("shard", _number(F.col("_ticket")) % F.col("_shards")))
     shards = drawn.groupBy("src", "shard").agg(
         F.sum("size").alias("words"), F.min("_seats").alias("_seats"),
@@ -183,7 +208,8 @@ def plan_mix(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLO
 def sized_rows(docs: DataFrame, text: str = "text", source: str = "source", ident: str = "doc_id") -> DataFrame:
     """The stored narrow form that ``plan_mix`` reads."""
     return durable(docs.select(
-        F.col(ident).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+        F.col(ident).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+        F.xxhash64(text).alias("hash"))
         .withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -200,7 +226,7 @@ def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", i
         size: word_count(F.col(text)), row: F.monotonically_increasing_id()}))
     plan = plan_mix(stored.select(
         F.col(ident).alias("doc_id"), F.col(source).alias("source"), F.col(size).alias("size"),
-        F.col(row).alias("row")), **options)
+        F.xxhash64(text).alias("hash"), F.col(row).alias("row")), **options)
     of, passes, parts, full = (private(docs, n) for n in ("_of", "_passes", "_parts", "_whole"))
     # each piece is a word with the white space before it
     pieces = F.split(F.col(text), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")

@@ -1,11 +1,12 @@
 """The mix against plain Sainte-Lague, and its promises."""
 
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from patio.llm.mixing import apportion, mix_documents, plan_mix, sized_rows, source_targets
+from patio.llm.mixing import apportion, mix_documents, plan_mix, sized_rows, source_targets, with_tickets
 
 
 def brute_seats(votes, seats):
@@ -117,6 +118,24 @@ def test_small_sources_and_tables(docs):
     assert abs(taken("a") - 8994) <= 128 * 10
 
 
+def test_shared_ids_are_spread(spark, docs):
+    """A third of the rows without an id, a third with one id, many of them equal: as many shards as others."""
+    rows = [(i, _words(i, 20), "a") for i in range(400)] + [(None, _words(i % 9, 20), "a") for i in range(400)] + [
+        (7, _words(1, 20), "a") for _ in range(400)]
+    sized = sized_rows(docs(rows))
+    tickets = [r._ticket for r in with_tickets(sized).collect()]
+    assert len(tickets) == len(set(tickets)) == 1200
+    plan = lambda frame: sorted((r.doc_id or -1, r["size"], r.taken) for r in plan_mix(
+        sized_rows(frame), shard_words=1000).collect())
+    first = plan(docs(rows))
+    assert len(first) == 1200
+    assert abs(sum(c for _, _, c in first) - 24_000) <= 128 * 24
+    assert first == plan(docs(rows[::-1]).repartition(5))
+    # the id alone draws the ticket where no other row has it
+    alone = {r.doc_id: r._ticket for r in with_tickets(sized).collect() if r.doc_id not in (None, 7)}
+    assert alone[3] == hashlib.md5(b"17:3").hexdigest()
+
+
 def test_odd_rows_and_empty_table(odd, docs):
     plan = plan_mix(sized_rows(odd)).collect()
     assert len(plan) == odd.count()
