@@ -12,7 +12,8 @@ their links, never pairs.
 Results for odd rows: vectors that are null, empty, all zero, or hold a null or non-finite component,
 and rows with a null label, link with nothing; vectors of different lengths don't link; equal rows link
 as separate vectors; a row without an id has no links, a null component and isn't kept; an empty table
-gives an empty result.
+gives an empty result; columns named like those the join makes stay as they are, columns named like a
+result are replaced.
 """
 
 import math
@@ -146,15 +147,16 @@ def near_vectors(df: DataFrame, vector: str = "embedding", label: str = "label",
         .applyInArrow(_compare(cosine), LINKS))
     counts = compared.groupBy("node").agg(F.sum("n").alias("_n"))
     groups = components(compared.select(F.col("node").alias("a"), F.col("low").alias("b")))
+    ra, rb, links, low = (private(df, n) for n in ("_ra", "_rb", "_links", "_component"))
     per_rep = durable(
         reps.select("a", "b", F.col("node").alias("_node"), "copies")
         .join(counts, F.col("_node") == counts["node"], "left").drop("node")
         .join(groups, F.col("_node") == groups["node"], "left").drop("node")
-        .select(F.col("a").alias("_ra"), F.col("b").alias("_rb"),
-                (F.coalesce("_n", F.lit(0)) + F.col("copies") - 1).alias("_links"),
-                F.coalesce("component", "_node").alias("_component")))
-    out = marked.join(per_rep, F.col(good) & (F.col(a) == F.col("_ra")) & (F.col(b) == F.col("_rb")), "left")
-    component = F.coalesce("_component", F.col(ident).cast("long"))
+        .select(F.col("a").alias(ra), F.col("b").alias(rb),
+                (F.coalesce("_n", F.lit(0)) + F.col("copies") - 1).alias(links),
+                F.coalesce("component", "_node").alias(low)))
+    out = marked.join(per_rep, F.col(good) & (F.col(a) == F.col(ra)) & (F.col(b) == F.col(rb)), "left")
+    component = F.coalesce(F.col(low), F.col(ident).cast("long"))
     return out.select(
-        *keep, F.coalesce("_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
+        *keep, F.coalesce(F.col(links), F.lit(0)).alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col(ident) == component, F.lit(False)).alias("kept"))

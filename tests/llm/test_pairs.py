@@ -177,6 +177,36 @@ def test_vectors_of_odd_rows(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_vectors_with_clashing_columns(spark):
+    names = ["_ra", "_rb", "_links", "_component", "_good", "_a", "_b", "_node", "node", "copies", "n_links"]
+    rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.1], 1), (3, [0.0, 1.0], 1)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in names})
+    got = near_vectors(frame)
+    assert got.columns == [*frame.columns[:-1], "n_links", "component_id", "kept"]
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept, r._links) for r in got.collect()} == {
+        k: (*v, "_links") for k, v in brute_vectors(rows).items()}
+
+
+def test_recall_at_the_default(spark):
+    """Pairs planted just above the threshold, with the tables that the default plans."""
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=(6000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9305, 0.95, size=(6000, 1))
+    b = cosine * a + np.sqrt(1 - cosine ** 2) * side
+    both = np.concatenate([a, b]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(both)], SCHEMA)
+    got = {r.vec_id: r.n_links for r in near_vectors(frame, keep=["vec_id"]).collect()}
+    links = sum(got.values())
+    units = both.astype(float) / np.linalg.norm(both.astype(float), axis=1, keepdims=True)
+    want = sum(int((units[i:i + 1000] @ units.T >= 0.93).sum()) for i in range(0, len(units), 1000)) - len(units)
+    print(f"recall {links / want:.4f} of {want // 2} links")
+    assert 0.98 * want <= links <= want
+
+
 def test_planned_miss():
     import math
     for rows in (0, 10, 10**5, 10**9):
