@@ -10,21 +10,22 @@ symbols and stretched letters. Spark's trees learn from the labelled rows (``tre
 ``least`` of them, so that a few wrong labels don't make a rule.
 
 Results for odd rows: null and empty texts have all features 0 and get the score that the model gives
-to those; without labels of both kinds every score is 0; repeated rows get repeated scores.
+to those; without labels of both kinds every score is 0; repeated rows get repeated scores;
+an empty table gives an empty result; very long texts count whole; columns named ``score`` or
+``predicted`` are replaced, all others stay.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patio.llm.batches import add_columns
-from patio.llm.common import words_of
+from patio.llm.common import private, words_of
 from patio.llm.hashing import LOWER, span_hashes, text_hash, word_spans
 from patio.session import durable
 
@@ -119,9 +120,9 @@ def text_features(body, offsets, lexicon, learned, second) -> np.ndarray:
 
 
 def learn_lexicon(labelled: DataFrame, text: str = "text", label: str = "toxic", min_texts: int = 5, min_share: float = 0.02,
-                  min_ratio: float = 20.0, size: int = 200) -> list[str]:
-    """At most ``size`` words in ``min_share`` of the toxic texts whose share there is ``min_ratio`` times
-    their share of the others.
+                  min_ratio: float = 20.0) -> list[str]:
+    """Words in ``min_share`` of the toxic texts whose share there is ``min_ratio`` times their share of the
+    others: 1 / ``min_share`` times the words of a toxic text at most.
 
     Exact copies count once, so a text that is repeated doesn't put its own words into the list.
     """
@@ -137,8 +138,7 @@ def learn_lexicon(labelled: DataFrame, text: str = "text", label: str = "toxic",
         F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).filter(
         F.col("a") >= max(min_texts, min_share * toxic))
     ratio = (F.col("a") / toxic) / ((F.col("b") + 0.5) / other)
-    best = counted.withColumn("r", ratio).filter(F.col("r") >= min_ratio).orderBy(F.desc("a"), "w").limit(size)
-    return [r.w for r in best.collect()]
+    return [r.w for r in counted.filter(ratio >= min_ratio).orderBy("w").collect()]
 
 
 def toxicity_features(df: DataFrame, text: str = "text", learned=(), keep=None, into: str = "features") -> DataFrame:
@@ -159,37 +159,37 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame, text: str = "text", ide
                    seed: int = 3) -> DataFrame:
     """The kept columns with ``score`` and ``predicted``; ``labelled`` holds (ident, text, label) rows
     to learn from."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("score", "predicted", "features")]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("score", "predicted")]
     known = labelled.filter(F.col(label).isNotNull()).select(
         F.col(ident).alias("_id"), F.col(text).alias("_text"), F.col(label).cast("int").alias("_y"))
     n = known.count()
     ticket = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(seed)), F.lit(1_000_000))
     known = durable(known.filter(ticket < 1e6 * min(1.0, sample / max(n, 1))))
     learned = learn_lexicon(known.filter(ticket % 4 != 0), "_text", "_y")
-    rows = durable(toxicity_features(known, "_text", learned, ["_id", "_y"]).select(
-        "_y", "features", (F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(seed)), F.lit(4)) == 0).alias("aside")))
+    features, x, p, prob, margin, tree, step = (
+        private(docs, c) for c in ("_features", "_x", "_p", "_prob", "_raw", "_s", "_c"))
+    rows = durable(toxicity_features(known, "_text", learned, ["_id", "_y"], features).select(
+        "_y", features, (F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(seed)), F.lit(4)) == 0).alias("aside")))
     kinds = {tuple(r) for r in rows.groupBy("aside", "_y").count().select("aside", "_y").collect()}
-    wide = toxicity_features(docs, text, learned, keep)
+    wide = toxicity_features(docs, text, learned, keep, features)
     if not {(False, 0), (False, 1)} <= kinds:
-        return wide.drop("features").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
+        return wide.drop(features).withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
 
     def vectors(df):
-        split = df.withColumns({f"_f{i}": F.get("features", F.lit(i)) for i in range(len(FEATURES))})
-        out = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(FEATURES))], outputCol="_x").transform(split)
-        return out.drop(*[f"_f{i}" for i in range(len(FEATURES))])
+        return df.withColumn(x, array_to_vector(features))
 
-    forest = GBTClassifier(featuresCol="_x", labelCol="_y", predictionCol="_p", maxIter=trees,
+    forest = GBTClassifier(featuresCol=x, labelCol="_y", predictionCol=p, maxIter=trees,
                            maxDepth=depth, stepSize=0.2, seed=seed, minInstancesPerNode=least)
-    forest = forest.setProbabilityCol("_prob").setRawPredictionCol("_raw")
+    forest = forest.setProbabilityCol(prob).setRawPredictionCol(margin)
     aside = {(True, 0), (True, 1)} <= kinds
     model = forest.fit(vectors(rows.filter(~F.col("aside")) if aside else rows))
 
     def raw(df):
-        return model.transform(vectors(df)).withColumn("_s", F.get(vector_to_array("_prob"), F.lit(1)))
+        return model.transform(vectors(df)).withColumn(tree, F.get(vector_to_array(prob), F.lit(1)))
 
-    curve = IsotonicRegression(featuresCol="_s", labelCol="_y", predictionCol="_c").fit(
-        raw(rows.filter("aside") if aside else rows).select("_s", F.col("_y").cast("double")))
+    curve = IsotonicRegression(featuresCol=tree, labelCol="_y", predictionCol=step).fit(
+        raw(rows.filter("aside") if aside else rows).select(tree, F.col("_y").cast("double")))
     # the tree score breaks ties inside a flat step of the curve
     done = curve.transform(raw(wide)).withColumn(
-        "score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.999 * F.col("_c") + 0.001 * F.col("_s"))))
+        "score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.999 * F.col(step) + 0.001 * F.col(tree))))
     return done.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).select(*keep, "score", "predicted")

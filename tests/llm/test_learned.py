@@ -219,3 +219,20 @@ def test_toxicity_on_held_out_rows(spark, sf):
 def test_toxicity_without_labels(odd):
     rows = score_toxicity(odd.withColumn("score", F.lit("x")), odd.withColumn("toxic", F.lit(0)), keep=["doc_id"]).collect()
     assert {(r.score, r.predicted) for r in rows} == {(0.0, 0)} and len(rows) == odd.count()
+
+
+def test_toxicity_of_odd_rows(odd, docs):
+    """Both kinds of labels, repeated rows, a very long text, clashing columns, an empty table."""
+    names = ["_features", "features", "_f0", "_x", "_p", "_prob", "_raw", "_s", "_c", "predicted"]
+    known = docs([(i, "you idiot" if i % 3 == 0 else "a calm day", "a") for i in range(300)]).withColumn(
+        "toxic", (F.col("doc_id") % 3 == 0).cast("int"))
+    frame = odd.withColumns({c: F.lit(c) for c in names})
+    got = score_toxicity(frame, known)
+    assert got.columns == [*frame.columns[:-1], "score", "predicted"]
+    rows = got.collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 and r.features == "features" for r in rows)
+    assert len({r.score for r in rows if not (r.text or "").strip()}) == 1
+    assert len({r.score for r in rows if r.text and r.text.startswith("one")}) == 1
+    judged = {r.text: r.predicted for r in score_toxicity(docs([(1, "you idiot", "a"), (2, "a calm day", "b")]), known).collect()}
+    assert judged == {"you idiot": 1, "a calm day": 0}
+    assert score_toxicity(docs([]), known).count() == 0
