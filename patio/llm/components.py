@@ -6,12 +6,9 @@ from pyspark.sql import functions as F
 from patio.session import durable
 
 
-def components(links: DataFrame, rounds: int | None = None, max_rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) for every node of the links (a, b); the component is its smallest node.
 
-    With ``rounds``, as many rounds are made and nodes of one component may still carry different
-    labels; equal labels always mean the same component.
-
     Each round every node takes the smallest label among its neighbours' and its own, and then the
     label of that label, so chains shorten fast. Each round is written as a table, which ends its
     lineage; minima combine on the map side, so a node with very many links is no single task. The
@@ -21,7 +18,7 @@ def components(links: DataFrame, rounds: int | None = None, max_rounds: int = 10
                    .filter("a != b").distinct())
     labels = durable(both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.col("a"), F.min("b")).alias("component")))
-    for done in range(1, max_rounds + 1):
+    for _ in range(max_rounds):
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(
             F.min("component").alias("near"))
         lower = labels.join(near, F.col("node") == F.col("a")).select(
@@ -31,6 +28,6 @@ def components(links: DataFrame, rounds: int | None = None, max_rounds: int = 10
             "node", F.col("component").alias("old"),
             F.least("low", F.coalesce("far", "low")).alias("component")))
         labels = stepped.select("node", "component")
-        if done == rounds or rounds is None and stepped.filter("component != old").isEmpty():
+        if stepped.filter("component != old").isEmpty():
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -295,8 +295,8 @@ def near_components(docs: DataFrame, text: str, ident: str) -> tuple[DataFrame,
         links = durable(_verified(fresh, sets))
         verified = links if verified is None else verified.unionByName(links)
         if not every:
-            # labels that are not final yet only mean a few more proposals
-            labels = components(verified.select(F.col("x").alias("a"), F.col("y").alias("b")), rounds=1)
+            # settled labels: sets of one group with two labels would give all their pairs in the last round
+            labels = components(verified.select(F.col("x").alias("a"), F.col("y").alias("b")))
     if verified is None:
         named = nodes.withColumn("component", F.col("node"))
     else:
