@@ -206,10 +206,9 @@ def gram_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, (a, b, _) in enumerate(cells)])))
 
 
-def gram_coefficients(gram: DataFrame, features: Sequence[str], label: str, alphas: Mapping[str, float]) -> DataFrame:
-    """(modelo, feature, coeficiente) rows of ridge models solved from a Gram table, which holds a few numbers
-    per pair of features. Coefficients are those of features divided by their standard deviation; the
-    intercept is the row without a feature name. Features without variance get 0."""
+def _standardised(gram: DataFrame, features: Sequence[str], label: str) -> tuple:
+    """From a Gram table: row count, means, features with variance, their deviations, and the products of
+    the standardised features with each other and with the label."""
     sums = {(r.x, r.y): r.soma for r in gram.collect()}
     n = sums["", ""] or 0.0
     mean = {c: sums["", c] / n for c in (*features, label)} if n else {}
@@ -218,6 +217,14 @@ def gram_coefficients(gram: DataFrame, features: Sequence[str], label: str, alph
     pair = lambda a, b: sums[(a, b) if (a, b) in sums else (b, a)]
     products = np.array([[pair(a, b) for b in kept] for a in kept]).reshape(len(kept), len(kept)) / np.outer(spread, spread)
     target = np.array([pair(c, label) for c in kept]) / spread
+    return n, mean, kept, spread, products, target
+
+
+def gram_coefficients(gram: DataFrame, features: Sequence[str], label: str, alphas: Mapping[str, float]) -> DataFrame:
+    """(modelo, feature, coeficiente) rows of ridge models solved from a Gram table, which holds a few numbers
+    per pair of features. Coefficients are those of features divided by their standard deviation; the
+    intercept is the row without a feature name. Features without variance get 0."""
+    n, mean, kept, spread, products, target = _standardised(gram, features, label)
     rows = []
     for name, alpha in alphas.items():
         beta = dict(zip(kept, np.linalg.solve(products + alpha * np.eye(len(kept)), target))) if kept else {}
@@ -227,6 +234,36 @@ def gram_coefficients(gram: DataFrame, features: Sequence[str], label: str, alph
     return gram.sparkSession.createDataFrame(rows, "modelo string, feature string, coeficiente double")
 
 
+def lasso_optimality(gram: DataFrame, features: Sequence[str], label: str, alpha: float, sweeps: int = 20_000,
+                     tolerance: float = 1e-13) -> DataFrame:
+    """(feature, coeficiente, gradiente, limite, ativa) rows of a lasso model, solved by coordinate descent on
+    a Gram table, which holds a few numbers per pair of features.
+
+    Coefficients are those of standardised features under squared error / 2n + alpha x |coefficients|. At the
+    optimum the gradient of the error is alpha with the coefficient's sign where the feature is active and
+    between -alpha and alpha elsewhere, so the table shows by itself whether the fit is right. Features
+    without variance get 0; the row without a feature name is the intercept.
+    """
+    n, mean, kept, spread, products, target = _standardised(gram, features, label)
+    beta = np.zeros(len(kept))
+    if kept:
+        products, target = products / n, target / n
+    for _ in range(sweeps if kept else 0):
+        before = beta.copy()
+        for j in range(len(kept)):
+            rest = target[j] - products[j] @ beta + products[j, j] * beta[j]
+            beta[j] = np.sign(rest) * max(abs(rest) - alpha, 0.0) / products[j, j]
+        if np.abs(beta - before).max() <= tolerance * max(np.abs(beta).max(), 1e-300):
+            break
+    gradient = dict(zip(kept, target - products @ beta)) if kept else {}
+    found = dict(zip(kept, beta))
+    table = [(c, float(found.get(c, 0.0)), float(gradient.get(c, 0.0)), alpha, bool(found.get(c, 0.0) != 0)) for c in features]
+    shift = sum(b * mean[c] / s for c, b, s in zip(kept, beta, spread))
+    table.append(("", float(mean[label] - shift) if n else None, 0.0, 0.0, True))
+    return gram.sparkSession.createDataFrame(
+        table, "feature string, coeficiente double, gradiente double, limite double, ativa boolean")
+
+
 def predict_gram(df: DataFrame, gram: DataFrame, coefficients: DataFrame, features: Sequence[str]) -> DataFrame:
     """(modelo, id, label, prediction) rows of all models of a coefficient table."""
     sums = {(r.x, r.y): r.soma for r in gram.collect()}
