@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patio.operators.quantiles import quantile_row
+from patio.operators.quantiles import quantiles_by
 from patio.operators.summaries import rows
 
 BINS = 32
@@ -38,10 +38,11 @@ class Part:
 def split_points(df: DataFrame, features: Sequence[str], bins: int = BINS, digits: int = 6) -> dict[str, list[float]]:
     """Candidate thresholds per feature: its exact quantiles at 1/bins, 2/bins and so on, rounded, without
     repeats. A feature without values has none."""
-    features = list(features)
-    found = quantile_row(df, features, [i / bins for i in range(1, bins)]).first()
-    return {c: sorted({round(found[f"{c}_q{i}"], digits) for i in range(bins - 1) if found[f"{c}_q{i}"] is not None})
-            for c in features}
+    names = [f"q{i}" for i in range(1, bins)]
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v")) for c in features])))
+    found = quantiles_by(long, ["f"], "v", [i / bins for i in range(1, bins)], names).collect()
+    points = {r.f: sorted({round(r[q], digits) for q in names if r[q] is not None}) for r in found}
+    return {c: points.get(c, []) for c in features}
 
 
 def _walk(splits: Mapping[int, tuple[str, float]], node: int, leaf) -> Column:
