@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from patio.columns import DATE, ENTITY, FUEL, ID, PRICE, STATUS, YEAR
 from patio.functions.dates import cyclic_month, vehicle_age
 from patio.functions.numeric import round_stable
-from patio.session import scalar_struct
+from patio.session import durable, scalar_struct
 
 NUMERIC = [YEAR, "idade", "mes", "trimestre", "sin_mes", "cos_mes"]
 CATEGORIES = [FUEL, STATUS, ENTITY]
@@ -108,18 +108,27 @@ def scale_features(train: DataFrame) -> Scaler:
     return Scaler(list(model.mean), [s * shrink for s in model.std], n)
 
 
-def estimator(name: str, train: DataFrame):
-    """Ridge with alpha 1 and lasso with alpha 10 in the scale of the sum-of-squares objective."""
+def estimator(name: str, train: DataFrame, weight: str | None = None):
+    """Ridge with alpha 1 and lasso with alpha 10 in the scale of the sum-of-squares objective. ``weight``
+    names the column that counts how many rows a row stands for."""
     linear = LinearRegression(solver="auto", standardization=False, maxIter=5000, tol=1e-9)
+    tree = DecisionTreeRegressor(maxDepth=8, maxBins=256, seed=42)
+    if weight is not None:
+        linear, tree = linear.setWeightCol(weight), tree.setWeightCol(weight)
     if name == "linear":
         return linear
     if name == "ridge":
-        s = train.agg(F.stddev_pop("label").alias("sd"), F.count("label").alias("n")).first()
+        sd, n = F.stddev_pop("label"), F.count("label")
+        if weight is not None:
+            w, y = F.col(weight), F.col("label")
+            n, mean = F.sum(w), F.sum(w * y) / F.sum(w)
+            sd = F.sqrt(F.greatest(F.sum(w * y * y) / n - mean * mean, F.lit(0.0)))
+        s = train.agg(sd.alias("sd"), n.alias("n")).first()
         return linear.copy({linear.regParam: 1.0 * s["sd"] / s["n"], linear.elasticNetParam: 0.0})
     if name == "lasso":
         return linear.copy({linear.regParam: 10.0, linear.elasticNetParam: 1.0})
     if name == "arvore":
-        return DecisionTreeRegressor(maxDepth=8, maxBins=256, seed=42)
+        return tree
     raise ValueError(name)
 
 
@@ -143,24 +152,49 @@ def regression_metrics(predicted: DataFrame, by: Sequence[str] = ("modelo",), ro
         round_stable(F.sqrt(F.avg(error * error)), 4).alias("rmse"))
 
 
+def fold_cells(train: DataFrame, fold: Column) -> DataFrame:
+    """One row per fold and feature vector: ``n`` rows, their mean ``label`` (null if one of them is null) and
+    ``spread``, the sum of squares around it.
+
+    Least squares and variance splits depend on the labels of equal vectors by their mean alone, so fits on
+    these rows, weighted by ``n``, are the fits on all rows.
+    """
+    y, n = F.col("label"), F.count(F.lit(1))
+    return train.groupBy(fold.alias("fold"), "features").agg(
+        n.alias("n"), F.when(F.count(y) == n, F.avg(y)).alias("label"), (F.var_pop(y) * n).alias("spread"))
+
+
 def kfold_cv(train: DataFrame, names: Sequence[str] = MODELS, folds: int = 5, seed: int = 43,
              parallelism: int = 4) -> DataFrame:
-    """Rows and R2 per model and fold on the already scaled training rows; fits run as concurrent jobs."""
+    """Rows and R2 per model and fold on the already scaled training rows.
+
+    Rows of equal features are brought together once and stored; all fits read those. Fits run as concurrent
+    jobs, except that a tree, which keeps its rows in memory, is grown alone.
+    """
     fold = hash_bucket(seed, folds)
-    rows = train.persist()
+    totals = {r["fold"]: r for r in train.groupBy(fold.alias("fold")).agg(
+        F.count(F.lit(1)).alias("n"), (F.var_pop("label") * F.count("label")).alias("sst")).collect()}
+    cells = durable(fold_cells(train, fold))
 
     def score(job: tuple[str, int]) -> tuple[str, int, int, float]:
         name, i = job
-        _, predicted = predict(name, rows.filter(fold != i), rows.filter(fold == i))
-        found = regression_metrics(predicted.withColumn("fold", F.lit(i)), ["modelo", "fold"], rows=True).first()
-        return name, i + 1, found["linhas"] if found else 0, found["r2"] if found else None
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(score, [(m, i) for m in names for i in range(folds)]))
-    finally:
-        rows.unpersist()
-    return train.sparkSession.createDataFrame(scores, "modelo string, fold int, linhas long, r2 double")
+        rest = cells.filter(F.col("fold") != i)
+        model = estimator(name, rest, "n").fit(rest)
+        if i not in totals:
+            return name, i + 1, 0, None
+        error = F.col("label") - F.col("prediction")
+        sse = F.sum(F.col("spread") + F.col("n") * error * error)
+        found = model.transform(cells.filter(F.col("fold") == i)).agg(
+            round_stable(F.lit(1.0) - sse / F.lit(totals[i]["sst"]), 6).alias("r2")).first()
+        return name, i + 1, totals[i]["n"], found["r2"]
+
+    scores = {}
+    for together, own in ((parallelism, [m for m in names if m != "arvore"]), (1, [m for m in names if m == "arvore"])):
+        jobs = [(m, i) for m in own for i in range(folds)]
+        with ThreadPoolExecutor(together) as pool:
+            scores |= zip(jobs, pool.map(score, jobs))
+    return train.sparkSession.createDataFrame(
+        [scores[m, i] for m in names for i in range(folds)], "modelo string, fold int, linhas long, r2 double")
 
 
 def level_columns(df: DataFrame, column: str, levels: Sequence[str]) -> tuple[DataFrame, list[str]]:

@@ -1,10 +1,13 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from patio.operators import clustering, regression
@@ -192,3 +195,48 @@ def test_folds_are_whole(spark):
     train, _, _ = numeric_rows(spark)
     out = regression.kfold_cv(train, ["linear"]).collect()
     assert sum(r.linhas for r in out) == train.count()
+
+
+def test_folds_fit_equal_features_once(spark, monkeypatch):
+    """Fits read one row per fold and feature vector, trees are grown one at a time, and the scores are those of
+    fits on all rows."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 4, size=(600, 2))
+    y = x @ [30.0, -8.0] + 5 * x[:, 0] * x[:, 1] + rng.normal(size=600)
+    train = spark.createDataFrame([(i, Vectors.dense(list(map(float, r))), float(v)) for i, (r, v) in enumerate(zip(x, y))],
+                                  ["id", "features", "label"])
+    read, at_once, trees = [], [], []
+    plain, fit = regression.estimator, DecisionTreeRegressor._fit
+
+    def estimator(name, rows, *more):
+        read.append(rows.count())
+        return plain(name, rows, *more)
+
+    def grow(self, rows):
+        trees.append(1)
+        at_once.append(len(trees))
+        time.sleep(0.2)
+        try:
+            return fit(self, rows)
+        finally:
+            trees.pop()
+
+    monkeypatch.setattr(regression, "estimator", estimator)
+    monkeypatch.setattr(DecisionTreeRegressor, "_fit", grow)
+    got = {(r.modelo, r.fold): (r.linhas, r.r2) for r in regression.kfold_cv(train).collect()}
+    assert len(read) == 20 and max(read) <= 16 * 4
+    assert len(at_once) == 5 and max(at_once) == 1
+    monkeypatch.undo()
+    fold = regression.hash_bucket(43, 5)
+    for name in regression.MODELS:
+        for i in (0, 3):
+            _, predicted = regression.predict(name, train.filter(fold != i), train.filter(fold == i))
+            want = regression.regression_metrics(predicted, rows=True).first()
+            assert got[name, i + 1] == (want.linhas, pytest.approx(want.r2, abs=2e-6))
+
+
+def test_folds_refuse_null_labels(spark):
+    rows = [(i, Vectors.dense([float(i % 3)]), None if i == 7 else float(i)) for i in range(40)]
+    train = spark.createDataFrame(rows, ["id", "features", "label"])
+    with pytest.raises(Exception, match="(?i)null"):
+        regression.kfold_cv(train, ["linear"])
