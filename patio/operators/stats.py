@@ -194,18 +194,22 @@ def average_ranks(df: DataFrame, columns: Sequence[str], tie: str) -> DataFrame:
     """``tie``, the columns as doubles and ``<column>_rank``: 1-based ranks, ties averaged, over rows
     complete in all columns.
 
-    The values of all columns are ordered in one pass in long form, each column by itself, and a row's
-    ranks are brought together by its unique ``tie``.
+    A rank follows from the value alone, so the distinct values of all columns, with their numbers of rows, are
+    ordered in one pass in long form, each column by itself. Every row (one per ``tie``) then looks its ranks up
+    in the stored tables of (value, rank).
     """
-    full = df.dropna(subset=list(columns))
-    long = full.select(F.col(tie).alias("_id"), F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_v"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(columns)])))
-    numbered = number_rows(long, "_x", "_id", within=["_v"])
-    rank = F.col("_rank") + (F.col("_ties") - 1) / 2.0
-    of = [F.col("_v") == i for i in range(len(columns))]
-    return numbered.groupBy(F.col("_id").alias(tie)).agg(
-        *[F.max(F.when(own, F.col("_x"))).alias(c) for own, c in zip(of, columns)],
-        *[F.max(F.when(own, rank)).alias(f"{c}_rank") for own, c in zip(of, columns)])
+    columns = list(columns)
+    doubles = df.dropna(subset=columns).select(tie, *[F.col(c).cast("double").alias(c) for c in columns])
+    counted = durable(doubles.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_v"), F.col(c).alias("_x")) for i, c in enumerate(columns)]))).groupBy("_v", "_x").agg(
+        F.count(F.lit(1)).alias("_c")))
+    ranks = durable(number_rows(counted, "_x", "_v", within=["_v"], sums=["_c"]).select(
+        "_v", "_x", (F.col("_sum__c") - (F.col("_c") - 1) / 2.0).alias("_r")))
+    ranked = doubles.groupBy(tie).agg(*[F.max(c).alias(c) for c in columns])
+    for i, c in enumerate(columns):
+        own = durable(ranks.filter(F.col("_v") == i).select("_x", F.col("_r").alias(f"{c}_rank")))
+        ranked = ranked.join(own, F.col(c) == F.col("_x")).drop("_x")
+    return ranked
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str], tie: str) -> DataFrame:

@@ -170,6 +170,26 @@ def test_average_ranks(spark, tiny, shape):
             assert r[f"{c}_rank"] == sum(v < r[c] for v in values[c]) + (values[c].count(r[c]) + 1) / 2
 
 
+def test_average_ranks_order_distinct_values(spark, monkeypatch):
+    """The ordering holds a row per column and distinct value, whatever the number of rows; ids stay one row each."""
+    ordered_rows, plain = [], stats.number_rows
+
+    def number_rows(df, *more, **named):
+        ordered_rows.append(df.count())
+        return plain(df, *more, **named)
+
+    monkeypatch.setattr(stats, "number_rows", number_rows)
+    rows = [(i, float(i % 7), float(i % 3) - 1, None if i % 50 == 0 else 0.5 * (i % 11)) for i in range(1000)]
+    rows.append((1, 1.0, 0.0, 0.5))  # a row that comes twice counts twice in the ranks
+    got = stats.average_ranks(spark.createDataFrame(rows, "id long, x double, y double, z double"), ["x", "y", "z"], "id").collect()
+    assert ordered_rows == [7 + 3 + 11]
+    full = [r for r in rows if r[3] is not None]
+    assert sorted(r.id for r in got) == sorted({r[0] for r in full})
+    for r in got:
+        for c, i in (("x", 1), ("y", 2), ("z", 3)):
+            assert r[f"{c}_rank"] == sum(v[i] < r[c] for v in full) + (sum(v[i] == r[c] for v in full) + 1) / 2
+
+
 def test_ranking_reports_match_whole_tables(spark, sf):
     from patio.plans import QUERIES
     for name in ("moving_average", "running_totals", "price_neighbors"):
