@@ -153,15 +153,18 @@ def regression_metrics(predicted: DataFrame, by: Sequence[str] = ("modelo",), ro
 
 
 def fold_cells(train: DataFrame, fold: Column) -> DataFrame:
-    """One row per fold and feature vector: ``n`` rows, their mean ``label`` (null if one of them is null) and
-    ``spread``, the sum of squares around it.
+    """The rows of one fold and feature vector as one or two rows with a weight ``n``, of the same count, sum and
+    sum of squares of ``label`` (null if one of them is null).
 
-    Least squares and variance splits depend on the labels of equal vectors by their mean alone, so fits on
-    these rows, weighted by ``n``, are the fits on all rows.
+    Least squares and variance splits read no more than these of the labels of equal vectors, so fits on these
+    rows are the fits on all rows.
     """
-    y, n = F.col("label"), F.count(F.lit(1))
-    return train.groupBy(fold.alias("fold"), "features").agg(
-        n.alias("n"), F.when(F.count(y) == n, F.avg(y)).alias("label"), (F.var_pop(y) * n).alias("spread"))
+    y, n, s = F.col("label"), F.count(F.lit(1)), F.col("_s")
+    cells = train.groupBy(fold.alias("fold"), "features").agg(
+        n.cast("double").alias("n"), F.when(F.count(y) == n, F.avg(y)).alias("label"), F.stddev_pop(y).alias("_s"))
+    return cells.select("fold", "features", F.inline(F.when(s > 0, F.array(*[
+        F.struct((y + side).alias("label"), (F.col("n") / 2).alias("n")) for side in (-s, s)])).otherwise(
+            F.array(F.struct(y.alias("label"), F.col("n").alias("n"))))))
 
 
 def kfold_cv(train: DataFrame, names: Sequence[str] = MODELS, folds: int = 5, seed: int = 43,
@@ -183,7 +186,7 @@ def kfold_cv(train: DataFrame, names: Sequence[str] = MODELS, folds: int = 5, se
         if i not in totals:
             return name, i + 1, 0, None
         error = F.col("label") - F.col("prediction")
-        sse = F.sum(F.col("spread") + F.col("n") * error * error)
+        sse = F.sum(F.col("n") * error * error)
         found = model.transform(cells.filter(F.col("fold") == i)).agg(
             round_stable(F.lit(1.0) - sse / F.lit(totals[i]["sst"]), 6).alias("r2")).first()
         return name, i + 1, totals[i]["n"], found["r2"]
